@@ -38,12 +38,13 @@ def register_sql_functions(spark: SparkSession, python: bool = False) -> None:
     By default this is a SQL function that Catalyst inlines. ``python=True``
     registers the Python function under the same name instead.
     """
+    # A SQL function cannot replace a Python one, nor the other way round.
+    spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {SQL_NAME}")
     if python:
-        spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {SQL_NAME}")
         spark.udf.register(SQL_NAME, _extract, StringType())
         return
     picked = ", ".join(f"substring(number, {position}, 1)" for position in _POSITIONS)
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {SQL_NAME}(number STRING) RETURNS STRING "
+        f"CREATE TEMPORARY FUNCTION {SQL_NAME}(number STRING) RETURNS STRING "
         f"RETURN nullif(concat({picked}), '')"
     )

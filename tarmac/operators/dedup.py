@@ -52,12 +52,22 @@ def latest_filing(
     Spark keeps only the first row per flight and task before it shuffles
     (``WindowGroupLimit``), so a flight with very many filings stays small.
     """
-    window = Window.partitionBy(*key).orderBy(*filing_order(df, key, load_time, tie_break))
-    return (
-        df.withColumn("row_num", F.row_number().over(window))
-        .filter("row_num = 1")
-        .drop("row_num")
-    )
+    return _first(df, key, filing_order(df, key, load_time, tie_break))
+
+
+def _first(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
+    return _number(df, key, order).filter("row_num = 1").drop("row_num")
+
+
+def _number(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
+    """``row_num`` within the key, by a window.
+
+    The hash of the key leads the partitioning: it changes no group, and sorting
+    then compares one number per pair of rows where it would compare dates and texts.
+    """
+    window = Window.partitionBy("_key_hash", *key).orderBy(*order)
+    hashed = df.withColumn("_key_hash", F.xxhash64(*key))
+    return hashed.withColumn("row_num", F.row_number().over(window)).drop("_key_hash")
 
 
 def first_version_dedup(
@@ -71,12 +81,7 @@ def first_version_dedup(
     helpers = [c for c in ("status", "total_null_flag_count") if c in df.columns]
     df = df.drop(*helpers)
     order = [F.col("FlightDate"), *filing_order(df, key, tie_break=tie_break)]
-    window = Window.partitionBy(*key).orderBy(*order)
-    return (
-        df.withColumn("row_num", F.row_number().over(window))
-        .filter("row_num = 1")
-        .drop("row_num")
-    )
+    return _first(df, key, order)
 
 
 def dedup_report(df: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
@@ -114,15 +119,14 @@ def numbered_filings(
     order = filing_order(df, key, load_time, tie_break)
     heavy = _heavy_flights(df, key, heavy_share, heavy_rows)
     if not heavy:
-        return _number(df, key, order)
+        return _numbered(df, key, order)
     is_heavy = F.xxhash64(*key).isin(heavy)
-    light = _number(df.filter(~is_heavy), key, order)
+    light = _numbered(df.filter(~is_heavy), key, order)
     return light.unionByName(_number_in_slices(df.filter(is_heavy), key, order))
 
 
-def _number(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
-    window = Window.partitionBy(*key).orderBy(*order)
-    return df.withColumn("row_num", F.row_number().over(window).cast("bigint"))
+def _numbered(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
+    return _number(df, key, order).withColumn("row_num", F.col("row_num").cast("bigint"))
 
 
 def _heavy_flights(
@@ -131,17 +135,15 @@ def _heavy_flights(
     """Key hashes of the flights above both bounds: at most ``1 / share`` of them.
 
     Frequent-item counting finds every candidate in one pass without a shuffle;
-    a second pass counts just the candidates. Hashes that collide only route a
-    few more rows to the sliced form.
+    a second pass counts the candidates, and everything else as one group. Hashes
+    that collide only route a few more rows to the sliced form.
     """
     hashes = df.select(F.xxhash64(*key).alias("h"))
-    total = hashes.count()
-    if total <= least_rows:
-        return []
     candidates = hashes.stat.freqItems(["h"], share).first()[0]
-    counts = hashes.filter(F.col("h").isin(list(candidates))).groupBy("h").count()
-    above = counts.filter(F.col("count") > max(least_rows, int(share * total)))
-    return [row.h for row in above.collect()]
+    candidate = F.when(F.col("h").isin(list(candidates)), F.col("h"))
+    counts = hashes.groupBy(candidate.alias("h")).count().collect()
+    bound = max(least_rows, int(share * sum(row["count"] for row in counts)))
+    return [row["h"] for row in counts if row["h"] is not None and row["count"] > bound]
 
 
 def _number_in_slices(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:

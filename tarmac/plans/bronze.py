@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tarmac.model import CORRUPT_FIELD, FLIGHT_COLUMNS, NULL_FLAGS, RANGE_FLAGS
+from tarmac.operators.dedup import LOAD_TIME
 from tarmac.operators.quality import flag, range_flag_columns, with_null_flags
 
 CORRUPT = "corrupt_record"
@@ -21,21 +24,21 @@ def _corrupt(raw: DataFrame):
     return F.lit(None).cast("string").alias(CORRUPT)
 
 
-def _carried(raw: DataFrame) -> list[str]:
-    """Columns an ingest added to the raw ones, such as the load time."""
-    return [c for c in raw.columns if c not in {*FLIGHT_COLUMNS, CORRUPT_FIELD, "year", "month"}]
-
-
-def bronze_flights(raw: DataFrame, null_is_valid: bool = False) -> DataFrame:
+def bronze_flights(
+    raw: DataFrame, null_is_valid: bool = False, carry: Sequence[str] = (LOAD_TIME,)
+) -> DataFrame:
     """The Bronze table: flight columns, null flags, range flags, the corrupt line,
-    and ``year`` and ``month`` to partition by. One projection over the scan."""
+    and ``year`` and ``month`` to partition by. One projection over the scan.
+
+    ``carry`` names columns that ingest added; those present are kept.
+    """
     ranges = range_flag_columns(null_is_valid)
     return raw.select(
         *FLIGHT_COLUMNS,
         *(flag(F.col(c).isNull()).alias(name) for name, c in NULL_FLAGS.items()),
         *(ranges[name].alias(name) for name in RANGE_FLAGS),
         _corrupt(raw),
-        *_carried(raw),
+        *(c for c in carry if c in raw.columns),
         F.year("FlightDate").alias("year"),
         F.month("FlightDate").alias("month"),
     )

@@ -30,6 +30,9 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.showConsoleProgress", "false")
+        # The given tables have one row group each, hence one scan task. A smaller
+        # broadcast bound shuffles the larger ones, which puts all cores to work.
+        .config("spark.sql.autoBroadcastJoinThreshold", "1m")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)

@@ -51,7 +51,7 @@ _STEPS = [
         "AirTime": f"CASE WHEN {_CANCELLED} THEN NULL ELSE l_quantity * 6 END",
         "Distance": "CASE WHEN l_suppkey % 89 = 0 THEN NULL ELSE cast(floor(l_extendedprice / 10) AS double) END",
         FILING_ID: """concat_ws('|', l_orderkey, l_linenumber, l_suppkey,
-            cast(round(l_quantity * 100) AS bigint), cast(round(l_extendedprice * 100) AS bigint),
+            floor(l_quantity * 100 + 0.5e0), floor(l_extendedprice * 100 + 0.5e0),
             l_returnflag, l_linestatus)""",
     },
     {

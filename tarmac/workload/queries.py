@@ -59,7 +59,7 @@ def us_airports(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_table(spark: SparkSession, sf: str) -> DataFrame:
-    return bronze.bronze_flights(flights(spark, sf))
+    return bronze.bronze_flights(flights(spark, sf), carry=[dedup.LOAD_TIME, FILING_ID])
 
 
 def deduplicated(spark: SparkSession, sf: str) -> DataFrame:
