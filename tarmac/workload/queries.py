@@ -21,7 +21,7 @@ from tarmac.functions import (
 from tarmac.model import AIRLINE_MONTH, CORRUPT_FIELD, FLIGHT_COLUMNS, FLIGHT_KEY, NULL_FLAGS
 from tarmac.operators import airports as dimension
 from tarmac.operators import completeness, dedup, quality
-from tarmac.plans import bronze, gold, kpis, silver, views
+from tarmac.plans import bronze, gold, jobs, kpis, silver, views
 from tarmac.session import scratch_path
 from tarmac.sources import catalog, raw, tables
 from tarmac.workload.flights import FILING_ID, SOURCE_KEY, airports, flights
@@ -270,14 +270,7 @@ def _stored_silver(spark, sf) -> DataFrame:
 
 
 def _gold_tables(spark, sf, table: DataFrame) -> dict[str, DataFrame]:
-    return {
-        "gold_airline_kpi": gold.gold_airline_kpi(table),
-        "gold_route_kpi": gold.gold_route_kpi(table),
-        "gold_airport_departure_kpi": gold.gold_airport_departure_kpi(
-            table, us_airports(spark, sf)
-        ),
-        "delay_cause_table": gold.gold_delay_cause(table),
-    }
+    return jobs.gold_tables(table, us_airports(spark, sf))
 
 
 @query

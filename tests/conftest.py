@@ -44,7 +44,9 @@ AIRPORT_DDL = (
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(4, shuffle_partitions=4, memory="6g")
+    session = local_session(4, shuffle_partitions=4, memory="6g")
+    session.conf.set("spark.sql.maxMetadataStringLength", "10000")
+    return session
 
 
 @pytest.fixture(scope="session")

@@ -1,0 +1,170 @@
+from __future__ import annotations
+
+import datetime as dt
+
+import pytest
+from conftest import rows_of
+from pyspark.sql import functions as F
+
+from tarmac.model import AIRLINE_MONTH
+from tarmac.operators.airports import with_both_airports
+from tarmac.plans import gold, kpis, views
+from tarmac.plans.silver import departure_on_time_columns, on_time_columns, route_columns, with_features
+
+GONE = {
+    "Cancelled": 1.0, "DepDelay": None, "DepDelayMinutes": None, "DepDel15": None, "ArrDelay": None,
+    "ArrDelayMinutes": None, "ArrDel15": None, "ArrivalDelayGroups": None, "AirTime": None,
+}
+
+
+def late(minutes, **more):
+    return {
+        "ArrDelay": minutes, "ArrDelayMinutes": minutes, "ArrDel15": 1.0 if minutes >= 15 else 0.0,
+        "ArrivalDelayGroups": int(minutes // 15), "DepDelay": minutes, "DepDelayMinutes": minutes,
+        "DepDel15": 1.0 if minutes >= 15 else 0.0, **more,
+    }
+
+
+@pytest.fixture(scope="module")
+def silver(make_flights):
+    """March: AA with three flights and a cancellation, BB all cancelled, one
+    flight without an airline code, CC as busy as BB. April: AA once."""
+    rows = [
+        late(0.0), late(10.0, Distance=None, Origin="n01"),
+        late(60.0, Diverted=1.0, CarrierDelay=30.0, WeatherDelay=15.0, NASDelay=5.0, SecurityDelay=4.0, LateAircraftDelay=6.0),
+        GONE,
+        {**GONE, "Reporting_Airline": "BB", "IATA_CODE_Reporting_Airline": "bb"},
+        {**GONE, "Reporting_Airline": "BB", "IATA_CODE_Reporting_Airline": "bb"},
+        late(20.0, Reporting_Airline="CC", IATA_CODE_Reporting_Airline="cc", Origin="N03"),
+        late(30.0, Reporting_Airline="CC", IATA_CODE_Reporting_Airline="cc"),
+        late(5.0, IATA_CODE_Reporting_Airline=None, Reporting_Airline="DD"),
+        late(2.0, FlightDate=dt.date(2021, 4, 1)),
+    ]
+    return with_features(make_flights(*rows)).cache()
+
+
+def by_airline(df, month=3):
+    return {r.airline_code: r for r in df.filter(f"flight_month = {month}").collect()}
+
+
+def test_airline_kpi(silver):
+    df = gold.gold_airline_kpi(silver)
+    assert df.columns == [
+        *AIRLINE_MONTH, "total_number_of_flights", "delayed_flights", "total_flights_cancelled",
+        "diverted_flights", "non_cancelled_flights", "avg_arrival_delay_minutes",
+        "median_arrival_delay_minutes", "on_time_flights", "on_time_flight_percentage",
+        "cancelled_flights", "cancelled_flight_percentage", "avg_carrier_delay", "avg_weather_delay",
+        "avg_security_delay", "avg_late_aircraft_delay", "avg_distance_travelled",
+        "total_distance_travelled", "monthly_rank",
+    ]
+    rows = by_airline(df)
+    assert tuple(rows["AA"])[2:] == (
+        "AA", "AA", 4, 1, 1, 1, 3, pytest.approx(70 / 3), 10.0, 2, 50.0, 1, 25.0,
+        30.0, 15.0, 4.0, 6.0, 500.0, 1500.0, 1,
+    )
+    gone = rows["BB"]
+    assert (gone.non_cancelled_flights, gone.avg_arrival_delay_minutes) == (None, None)
+    assert (gone.on_time_flights, gone.cancelled_flight_percentage) == (0, 100.0)
+    assert rows["BB"].monthly_rank == rows["CC"].monthly_rank == 2
+    assert rows[None].total_number_of_flights == 1 and rows[None].monthly_rank == 3
+    assert df.agg(F.sum("total_number_of_flights")).first()[0] == silver.count()
+
+
+def test_one_pass_equals_joined_parts(silver):
+    one = gold.gold_airline_kpi(silver).filter("airline_code is not null")
+    joined = gold.gold_airline_kpi_joined(silver).filter("airline_code is not null")
+    assert one.columns == joined.columns
+    assert rows_of(one) == rows_of(joined)
+
+
+def test_route_kpi(silver):
+    rows = {(r.route, r.flight_year): r for r in gold.gold_route_kpi(silver).collect()}
+    main = rows["N01-N02", 2021]
+    # AA five times (one cancelled), BB twice (cancelled), CC once, and one without code.
+    assert main.number_of_flights == 9
+    assert main.number_of_airlines_on_route == 3
+    assert main.avg_arrival_delay == round((0 + 10 + 60 + 30 + 5 + 2) / 6, 2)
+    assert (main.total_delayed_flights, main.total_on_time_flights) == (2, 4)
+    assert main.on_time_percentage_airline_percentage == 44.44
+    assert len(gold.gold_route_kpi(silver).columns) == 11
+
+
+def test_departure_kpi(silver, make_airports):
+    airports = make_airports(("N01",), ("N02",))
+    placed = with_both_airports(silver, airports)
+    df = gold.gold_airport_departure_kpi(placed, airports, strict=True)
+    assert len(df.columns) == 16
+    assert {r.origin_code for r in df.collect()} == {"N01"}
+    march = df.filter("flight_month = 3").first()
+    assert march.total_departure == march.number_of_flights_operating == 8
+    assert march.total_cancelled_departure == 3
+    assert march.avg_departure_delay_minutes == 21.0
+    # Cancelled flights are not departure-delayed, so only the strict share leaves them out.
+    assert march.departure_on_time_percentage == 75.0
+    assert march.strict_departure_on_time_percentage == 37.5
+
+
+def test_delay_causes(silver):
+    df = gold.gold_delay_cause(silver)
+    assert len(df.columns) == 12
+    rows = by_airline(df)
+    assert "BB" not in rows
+    aa = rows["AA"]
+    assert (aa.total_minutes_delayed, aa.total_carrier_delayed_minutes) == (70.0, 30.0)
+    assert (aa.carrier_delay_percentage, aa.late_aircraft_delay_percentage) == (42.86, 8.57)
+    assert rows["CC"].total_weather_delayed_minutes is None
+
+
+def test_counts_over_time(silver):
+    assert rows_of(gold.flights_by(silver, ["flight_year", "flight_month"])) == [(2021, 3, 9), (2021, 4, 1)]
+    assert rows_of(gold.cancelled_by(silver, ["flight_year"])) == [(2021, 10, 3)]
+
+
+def test_kpis(silver):
+    assert by_airline(kpis.on_time_rate(silver))["AA"].on_time_rate_pct == 66.67
+    assert by_airline(kpis.on_time_rate(silver))["BB"].on_time_rate_pct is None
+    assert by_airline(kpis.average_arrival_delay(silver))["CC"].avg_arrival_delay == 25.0
+    assert by_airline(kpis.cancellation_rate(silver))["AA"].cancellation_rate_pct == 25.0
+    assert by_airline(kpis.p95_arrival_delay(silver))["AA"].p95_arrival_delay == 60.0
+    mix = by_airline(kpis.delay_cause_mix(silver))
+    assert tuple(mix["AA"])[3:] == (60.0, 50.0, 25.0, 8.33, 6.67, 10.0)
+    assert mix["CC"].carrier_pct is None
+
+
+def test_network_summary(silver):
+    lines = {r.metric: (r.label, r.value) for r in kpis.network_summary(silver).collect()}
+    assert lines == {
+        "on_time_rate_pct": (None, round(4 / 7 * 100, 2)),
+        "avg_arrival_delay_minutes": (None, round(127 / 7, 2)),
+        "cancellation_rate_pct": (None, 30.0),
+        "top_delay_cause_pct": ("Carrier", 50.0),
+        # The flight without an airline code is punctual, and is named as such.
+        "best_on_time_airline_pct": (None, 100.0),
+        "worst_departure_delay_airport": ("N03", 20.0),
+    }
+
+
+def test_views(spark, silver, make_airports):
+    card = {(r.flight_year, r.airline_code): r for r in views.reporting_view(spark, "vw_airline_scorecard", silver).collect()}
+    assert card[2021, "AA"].on_time_percentage == 60.0
+    assert card[2021, "AA"].annual_rank == 2
+    assert card[2021, "BB"].annual_rank == card[2021, "CC"].annual_rank == 3
+    trend = views.reporting_view(spark, "vw_delay_trend_monthly", silver)
+    assert rows_of(trend.select("flight_month", "season", "total_flights")) == [(3, "Spring", 9), (4, "Spring", 1)]
+
+
+def test_views_over_stored_names(spark, silver, make_airports):
+    airports = make_airports(("N01",))
+    silver.createOrReplaceTempView("silver_flights")
+    departures = gold.gold_airport_departure_kpi(with_both_airports(silver, airports), airports)
+    departures.createOrReplaceTempView("gold_airport_departure_kpi")
+    names = views.create_reporting_views(spark)
+    assert [spark.table(n).count() > 0 for n in names] == [True, True, True]
+
+
+def test_row_flags(silver):
+    df = silver.withColumns({**on_time_columns(), **departure_on_time_columns(), **route_columns()})
+    got = {(r.is_cancelled, r.is_arrival_delayed, r.on_time_flight) for r in df.collect()}
+    assert got == {(False, False, 1), (False, True, 0), (True, False, 0)}
+    only = df.withColumn("origin_code", F.lit(None).cast("string")).withColumns(route_columns())
+    assert only.first().route == "N02"
