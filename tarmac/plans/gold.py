@@ -16,6 +16,16 @@ from tarmac.plans.silver import on_time_columns, route_columns
 
 SKETCH_ACCURACY = 10_000
 
+# All that the Gold tables read of Silver: what to keep when Silver is cached for them.
+SILVER_COLUMNS = [
+    *AIRLINE_MONTH, "origin_code", "destination_code",
+    "is_cancelled", "is_diverted", "is_departure_delayed", "is_arrival_delayed",
+    "ArrDelayMinutes", "DepDelayMinutes", "AirTime", "Distance",
+    "CarrierDelay", "WeatherDelay", "SecurityDelay", "LateAircraftDelay",
+    "origin_airport_name", "origin_airport_city", "origin_airport_state",
+    "origin_lon", "origin_lat",
+]
+
 
 def _all() -> Column:
     return F.count("*")

@@ -67,12 +67,12 @@ def load_gold(
     """Save the four Gold tables in the database; returns their names.
 
     Each table reads its own few columns of Silver, which is cheap from a
-    columnar table; ``cache`` keeps Silver in memory and on disk instead, for
-    storage that is slow to read.
+    columnar table; ``cache`` keeps the columns of all four in memory and on
+    disk instead, for storage that is slow to read.
     """
     flights = tables.read_table(spark, silver, fmt)
     if cache:
-        flights = flights.persist(StorageLevel.MEMORY_AND_DISK)
+        flights = flights.select(*gold.SILVER_COLUMNS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         built = gold_tables(flights, tables.read_table(spark, airports, fmt))
         return [catalog.save_managed(df, database, name, fmt) for name, df in built.items()]

@@ -15,6 +15,14 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).load(path)
 
 
+def read_query(spark: SparkSession, query: str, fmt: str = "jdbc", **options) -> DataFrame:
+    """What a serving database answers to a query, through its Spark connector.
+
+    The connector's jar and its connection options are up to the session.
+    """
+    return spark.read.format(fmt).options(**options).option("query", query).load()
+
+
 def read_months(
     spark: SparkSession,
     path: str,
@@ -72,19 +80,23 @@ def write_clustered(
     partitions: Sequence[str] = PARTITIONS,
     spread_by: Sequence[str] = ("FlightDate", "Flight_Number_Reporting_Airline"),
     fmt: str = "parquet",
+    **options,
 ) -> None:
     """Write a partitioned table whose files each cover a narrow range of the
     clustering columns, so that a filter on them skips files and row groups.
 
     Ranges end with ``spread_by``, which lets one very frequent airline and
-    origin be cut over several tasks.
+    origin be cut over several tasks. ``options`` go to the writer, for formats
+    that keep statistics of their own.
     """
     (
         df.repartitionByRange(*partitions, *cluster_by, *spread_by)
         .sortWithinPartitions(*partitions, *cluster_by)
         .write.format(fmt)
         .mode("overwrite")
+        .option("overwriteSchema", "true")
         .option("partitionOverwriteMode", "static")
+        .options(**options)
         .partitionBy(*partitions)
         .save(path)
     )

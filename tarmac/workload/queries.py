@@ -15,10 +15,9 @@ from pyspark.sql import functions as F
 from tarmac.functions import (
     flight_number_extract,
     flight_number_extract_udf,
-    percent,
     register_sql_functions,
 )
-from tarmac.model import AIRLINE_MONTH, CORRUPT_FIELD, FLIGHT_COLUMNS, FLIGHT_KEY, NULL_FLAGS
+from tarmac.model import FLIGHT_COLUMNS, FLIGHT_KEY, NULL_FLAGS, NULL_PROFILE_COLUMNS
 from tarmac.operators import airports as dimension
 from tarmac.operators import completeness, dedup, quality
 from tarmac.plans import bronze, gold, jobs, kpis, silver, views
@@ -259,14 +258,7 @@ def gold_saved_tables(spark, sf):
 
 def _stored_silver(spark, sf) -> DataFrame:
     """The Silver columns that Gold reads, stored once for several tables."""
-    columns = {
-        *AIRLINE_MONTH, "origin_code", "destination_code", "is_cancelled", "is_diverted",
-        "is_departure_delayed", "is_arrival_delayed", "ArrDelayMinutes", "DepDelayMinutes",
-        "AirTime", "Distance", "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay",
-        "LateAircraftDelay", "origin_airport_name", "origin_airport_city",
-        "origin_airport_state", "origin_lat", "origin_lon",
-    }
-    return stored(spark, silver_table(spark, sf).select(*sorted(columns)), "silver")
+    return stored(spark, silver_table(spark, sf).select(*gold.SILVER_COLUMNS), "silver")
 
 
 def _gold_tables(spark, sf, table: DataFrame) -> dict[str, DataFrame]:
@@ -276,7 +268,8 @@ def _gold_tables(spark, sf, table: DataFrame) -> dict[str, DataFrame]:
 @query
 def silver_cached_multi_gold(spark, sf):
     """The four Gold tables from one cached Silver, released once they are written."""
-    table = silver_table(spark, sf).persist(StorageLevel.MEMORY_AND_DISK)
+    table = silver_table(spark, sf).select(*gold.SILVER_COLUMNS)
+    table = table.persist(StorageLevel.MEMORY_AND_DISK)
     counts = None
     try:
         for name, result in _gold_tables(spark, sf, table).items():
@@ -385,7 +378,7 @@ def dq_expected_rates(spark, sf):
 
 @query
 def dq_null_profile(spark, sf):
-    return quality.null_profile(flights(spark, sf))
+    return quality.null_profile(flights(spark, sf, *NULL_PROFILE_COLUMNS))
 
 
 # --- features -----------------------------------------------------------------
@@ -552,8 +545,6 @@ def _named(step: str, column: str):
 
 # --- airports -----------------------------------------------------------------
 
-_ORIGIN = ["name", "city", "state"]
-
 
 @query
 def join_origin_airport(spark, sf):
