@@ -135,15 +135,17 @@ def _heavy_flights(
     """Key hashes of the flights above both bounds: at most ``1 / share`` of them.
 
     Frequent-item counting finds every candidate in one pass without a shuffle;
-    a second pass counts the candidates, and everything else as one group. Hashes
-    that collide only route a few more rows to the sliced form.
+    a second pass counts just the candidates. Hashes that collide only route a
+    few more rows to the sliced form.
     """
+    total = df.count()
+    if total <= least_rows:
+        return []
     hashes = df.select(F.xxhash64(*key).alias("h"))
     candidates = hashes.stat.freqItems(["h"], share).first()[0]
-    candidate = F.when(F.col("h").isin(list(candidates)), F.col("h"))
-    counts = hashes.groupBy(candidate.alias("h")).count().collect()
-    bound = max(least_rows, int(share * sum(row["count"] for row in counts)))
-    return [row["h"] for row in counts if row["h"] is not None and row["count"] > bound]
+    bound = max(least_rows, int(share * total))
+    counts = hashes.filter(F.col("h").isin(list(candidates))).groupBy("h").count()
+    return [row.h for row in counts.filter(F.col("count") > bound).collect()]
 
 
 def _number_in_slices(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:

@@ -81,6 +81,12 @@ _STEPS = [
     },
 ]
 
+# Columns that later steps use; Spark drops those that end up unused.
+_USED_LATER = {
+    "_cx", "_days", "DepDelay", "ArrDelay", "ArrDelayMinutes",
+    "CarrierDelay", "WeatherDelay", "NASDelay", "SecurityDelay",
+}
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -115,15 +121,16 @@ def flights(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     else:
         rows = rows.withColumn("c_nationkey", F.lit(None).cast("int"))
 
+    needed = wanted | _USED_LATER
+    defined = set()
     for step in _STEPS:
-        rows = rows.withColumns({name: F.expr(sql) for name, sql in step.items()})
-    rows = rows.withColumns(
-        {
-            name: F.lit(None).cast(kind)
-            for name, kind in FLIGHT_TYPES.items()
-            if name not in rows.columns
-        }
-    )
+        picked = {name: F.expr(sql) for name, sql in step.items() if name in needed}
+        if picked:
+            rows = rows.withColumns(picked)
+        defined |= set(step)
+    absent = {name: kind for name, kind in FLIGHT_TYPES.items() if name in wanted - defined}
+    if absent:
+        rows = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in absent.items()})
     # The second filing, in the same pass over the rows.
     filed = F.expr("explode(CASE WHEN l_linenumber = 1 THEN array(0, 1) ELSE array(0) END)")
     load_time = F.expr(
