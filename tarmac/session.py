@@ -16,8 +16,6 @@ SETTINGS = {
     # Percentile sketches are aggregated per airline-month. A task meets more than the
     # default 128 groups and would otherwise sort its whole input; a sketch is small.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "16384",
-    # Replace only the (year, month) partitions a batch holds.
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 

@@ -225,3 +225,20 @@ def test_jobs_end_to_end(spark, landing, tmp_path):
     catalog.use_database(spark, name, paths["db"])
     saved = jobs.load_gold(spark, paths["silver"], paths["airports"], name, cache=True)
     assert [spark.table(t).count() > 0 for t in saved] == [True, True, True, False]
+
+
+def test_a_month_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(200_000).select(
+        F.md5(F.col("id").cast("string")).alias("text"),
+        F.lit(2021).alias("year"),
+        F.when(F.col("id") % 3 > 0, 1).otherwise(F.col("id") % 12 + 1).cast("int").alias("month"),
+    )
+    path = str(tmp_path / "t")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "500k")
+    try:
+        tables.write_partitioned(rows, path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = [f for f in os.listdir(f"{path}/year=2021/month=1") if f.endswith(".parquet")]
+    assert len(files) > 3
+    assert tables.read_table(spark, path).count() == 200_000
