@@ -93,7 +93,11 @@ _EXPRESSIONS = {
       - floor(arr_minutes / 4) - floor(arr_minutes / 8) - floor(arr_minutes / 16) END""",
 }
 
-_FILED = "filed AS (SELECT {columns}, cast(cast(o_orderdate AS date) AS timestamp) AS load_timestamp, {filing} AS filing_id, l_orderkey, l_linenumber FROM delays)".format(
+_FILED = """filed AS (
+  SELECT {columns},
+    cast(cast(o_orderdate AS date) AS timestamp) AS load_timestamp,
+    {filing} AS filing_id, l_orderkey, l_linenumber
+  FROM delays)""".format(
     columns=",\n    ".join(f"{_EXPRESSIONS[c]} AS {c}" for c in FLIGHT_COLUMNS),
     filing="""concat_ws('|', l_orderkey, l_linenumber, l_suppkey, cast(floor(l_quantity * 100 + 0.5e0) AS bigint),
       cast(floor(l_extendedprice * 100 + 0.5e0) AS bigint), l_returnflag, l_linestatus)""",
