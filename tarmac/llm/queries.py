@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tarmac.llm import exact, language
+from tarmac.llm import exact, language, minhash
 from tarmac.llm.common import held_out
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_minhash_dedup(spark, sf):
+    return minhash.near_duplicates(table(spark, sf, "documents"))
+
+
 @query
 def op4_language_id(spark, sf):
     docs = table(spark, sf, "documents")

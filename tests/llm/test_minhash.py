@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from tarmac.llm import minhash, queries
+from tarmac.llm.components import components
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def shingles(text, size=5):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = [w for w in re.split("[\x20\x09-\x0d]+", lowered) if w]
+    if not words:
+        return frozenset()
+    if len(words) < size:
+        return frozenset([tuple(words)])
+    return frozenset(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+
+
+def brute_force(rows, percent=85):
+    """component per row, by comparing every pair that shares a shingle."""
+    sets = {i: shingles(t) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    by_shingle = {}
+    for i in sorted(sets):
+        met = set()
+        for s in sets[i]:
+            met.update(by_shingle.setdefault(s, []))
+            by_shingle[s].append(i)
+        for j in met:
+            both = len(sets[i] & sets[j])
+            if 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    return {i: (len(sets[i]), find(i)) for i in sets}
+
+
+def found(df):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in df.collect()}
+
+
+def test_given_documents_equal_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    result = queries.queries()["op1_minhash_dedup"](spark, sf)
+    expected = brute_force(rows)
+    assert found(result) == expected
+    assert {r["doc_id"] for r in result.filter("kept").collect()} == {c for _, c in expected.values()}
+
+
+@pytest.mark.parametrize("tile", [2, 256])
+def test_chains_and_hubs_whose_members_are_not_all_alike(frame, tile):
+    rng = random.Random(5)
+    base = [f"w{i}" for i in range(200)]
+    rows, words = [], list(base)
+    for i in range(12):  # a chain: each differs from the one before, the ends differ much
+        rows.append((100 + i, " ".join(words)))
+        for _ in range(2):
+            words[rng.randrange(200)] = f"c{i}{rng.random()}"
+    hub = [f"h{i}" for i in range(150)]
+    rows.append((55, " ".join(hub)))  # a hub that is not the smallest id
+    for i in range(30):
+        copy = list(hub)
+        copy[rng.randrange(150)] = f"x{i}"
+        copy[rng.randrange(150)] = f"y{i}"
+        rows.append((20 + i if i < 15 else 300 + i, " ".join(copy)))
+    rng.shuffle(rows)
+    df = minhash.near_duplicates(frame(rows, SCHEMA), tile=tile)
+    assert found(df) == brute_force(rows)
+
+
+def test_nulls_empty_short_repeated_and_extra_columns(frame):
+    text = " ".join(f"w{i}" for i in range(50))
+    rows = [
+        (1, None, "a"), (2, "", "b"), (3, " \t\n ", "c"), (4, "One two", "d"), (5, "one TWO", "e"),
+        (6, text, "f"), (7, text.upper(), "g"), (7, text.upper(), "g"), (None, text, "h"), (None, "z", "i"),
+        (9, "Été", "j"), (10, "été", "k"),
+    ]
+    df = minhash.near_duplicates(frame(rows, "doc_id bigint, text string, component_id string"))
+    got = sorted(
+        ((r["doc_id"] if r["doc_id"] is not None else -1), r["n_shingles"], r["component_id"], r["kept"])
+        for r in df.filter("doc_id is not null").collect()
+    )
+    assert got == [
+        (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False),
+        (6, 46, 6, True), (7, 46, 6, False), (7, 46, 6, False), (9, 1, 9, True), (10, 1, 10, True),
+    ]
+    lone = df.filter("doc_id is null").orderBy(F.desc("n_shingles")).collect()
+    assert [(r["n_shingles"], r["component_id"], r["kept"]) for r in lone] == [(46, 6, False), (1, None, False)]
+
+
+def test_empty_table(frame, spark):
+    assert minhash.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_min_max_values_estimate_similarity():
+    rng = random.Random(3)
+    words = [str(rng.random()) for _ in range(1000)]
+    a = minhash.shingle_set(" ".join(words[:900]).encode())
+    b = minhash.shingle_set(" ".join(words[100:]).encode())
+    agree = (minhash.min_max(a) == minhash.min_max(b)).mean()
+    assert abs(agree - 796 / 996) < 0.12
+
+
+def test_components_of_long_chains(frame):
+    edges = [(i, i + 1) for i in range(100)] + [(200, 200), (301, 300), (301, 300), (None, 4)]
+    got = {r["id"]: r["component"] for r in components(frame(edges, "a bigint, b bigint")).collect()}
+    assert got == {**{i: 0 for i in range(101)}, 300: 300, 301: 300}
