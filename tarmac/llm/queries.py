@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tarmac.llm import exact, language, minhash
+from tarmac.llm import bpe, exact, language, minhash
 from tarmac.llm.common import held_out
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +40,23 @@ def op4_language_id(spark, sf):
     return found.select("doc_id", held_out("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def bpe_digests(coded: DataFrame) -> DataFrame:
+    """Lengths and digests of ids and decoded text."""
+    ids = F.concat_ws(",", F.col("ids").cast("array<string>"))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(ids.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op5_bpe_round_trip(spark, sf):
+    docs = table(spark, sf, "documents")
+    return bpe_digests(bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")))
+
+
 @query
 def op8_exact_dedup(spark, sf):
     return exact.exact_duplicates(table(spark, sf, "documents"))
