@@ -30,6 +30,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.llm.common import ship_package, write_bytes
 from tarmac.session import scratch_path
 
 # Fixed value: how byte-level BPE cuts a text into words.
@@ -430,6 +431,7 @@ def frequent_words(
     docs: DataFrame, text_col: str = "text", words: int = LEXICON_WORDS
 ) -> list[str]:
     """The most frequent white-space separated words of all texts; at most ``words``, ties by text."""
+    ship_package(docs.sparkSession)
     counted = (
         docs.select(F.col(text_col).cast("string").alias("text"))
         .mapInArrow(_count_words, "word string, n bigint")
@@ -443,16 +445,14 @@ def frequent_words(
 def _distribute(spark: SparkSession, data: bytes, name: str) -> str:
     """Store bytes in the shared folder and have every executor fetch them once."""
     target = scratch_path(spark, "bpe") + "/" + name
-    path = spark._jvm.org.apache.hadoop.fs.Path(target)
-    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
-    out.write(bytearray(data))
-    out.close()
+    write_bytes(spark, target, data)
     spark.sparkContext.addFile(target)
     return name
 
 
 def codec(spark: SparkSession, vocabulary_path: str, words: Iterable[str] = ()) -> Codec:
     """Distribute the vocabulary and, if there are words, the lexicon compiled from them."""
+    ship_package(spark)
     with open(vocabulary_path, encoding="utf-8") as file:
         spec = file.read()
     vocabulary = Vocabulary(spec)

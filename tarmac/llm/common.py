@@ -2,17 +2,50 @@
 
 from __future__ import annotations
 
+import functools
+import io
 import math
+import os
+import zipfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tarmac
 from tarmac.session import scratch_path
 
 # Ids are broadcast up to this many (a hashed long takes about 32 bytes, so 16 MB at most).
 BROADCAST_IDS = 500_000
 
 
+def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
+    """Write a small file wherever Spark can write."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target)
+    out.write(bytearray(data))
+    out.close()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package wherever they run; once per application."""
+    _ship(spark, spark.sparkContext.applicationId)
+
+
+@functools.lru_cache(maxsize=1)
+def _ship(spark: SparkSession, application_id: str) -> None:
+    root = os.path.dirname(os.path.abspath(tarmac.__file__))
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    archive.write(path, os.path.relpath(path, os.path.dirname(root)))
+    target = scratch_path(spark, "package") + "/tarmac.zip"
+    write_bytes(spark, target, packed.getvalue())
+    spark.sparkContext.addPyFile(target)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a DataFrame to the shared scratch folder and read it back: lineage ends here."""
     path = scratch_path(df.sparkSession, name)

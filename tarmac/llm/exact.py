@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import shards, stored, text_or_empty
+from tarmac.llm.common import shards, ship_package, stored, text_or_empty
 from tarmac.llm.hashing import mix64
 
 DIGESTS_PER_SHARD = 100_000
@@ -182,6 +182,7 @@ def exact_duplicates(
     delivery and stays only if no copy has an id. Rows that repeat an id and its text are one document:
     each is returned, counted and marked alike. Other columns are ignored; an empty table gives no rows.
     """
+    ship_package(docs.sparkSession)
     rows = stored(
         docs.select(
             F.col(id_col).cast("bigint").alias("id"), F.unhex(text_digest(text_col)).alias("digest")

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tarmac.llm.common import held_out, stored
+from tarmac.llm.common import held_out, ship_package, stored
 
 FEATURES = 1 << 13
 # Bound of the learning sample: this many texts of all languages together.
@@ -111,13 +111,22 @@ def train(
     Per language, the texts with the smallest hash of the id are taken, ``sample_texts`` of all
     languages together at most (but eight of each). Their features reach the driver.
     """
-    langs = [r[0] for r in labelled.groupBy("lang").count().orderBy("lang").collect()]
+    ship_package(labelled.sparkSession)
+    held = {r[0]: r[1] for r in labelled.groupBy("lang").count().collect()}
+    langs = sorted(held)
     if not langs:
         return LanguageModel([], np.ones((0, 0)), np.zeros((FEATURES, 0)), np.ones(0))
     each = max(8, sample_texts // len(langs))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col(id_col).cast("string")), id_col)
+    mixed = F.xxhash64(F.col(id_col).cast("string"))
+    order = Window.partitionBy("lang").orderBy(mixed, id_col)
+    # Twice the share that is needed goes into the ranking, so no task ranks a whole language.
+    low = {lang: int((2 * min(1, (2 * each + 50) / held[lang]) - 1) * 2**63) for lang in langs}
+    near = F.lit(False)
+    for lang in langs:
+        near = near | ((F.col("lang") == lang) & (mixed <= min(low[lang], 2**63 - 1)))
     chosen = stored(
-        labelled.select("lang", id_col)
+        labelled.filter(near)
+        .select("lang", id_col)
         .withColumn("_rank", F.row_number().over(order))
         .filter(F.col("_rank") <= each)
         .select(F.col(id_col).alias("_chosen")),
@@ -165,6 +174,7 @@ def identify(
     score 0. Ties go to the first language in order. Repeated rows are judged each; other columns
     are ignored.
     """
+    ship_package(docs.sparkSession)
     languages = model.languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import keep_ids, stored
+from tarmac.llm.common import keep_ids, ship_package, stored
 from tarmac.llm.components import components
 from tarmac.llm.hashing import mix64, whole, windows, word_hashes
 
@@ -199,6 +199,7 @@ def near_duplicates(
     Repeated rows are returned each. Rows without an id are linked like others but stand for nothing: their
     component is that of the rows with an id that have their set, or null. Other columns are ignored.
     """
+    ship_package(docs.sparkSession)
     columns = _columns(docs, id_col, text_col)
     signed = stored(columns.mapInArrow(_signatures(shingle_words), SIGNATURE_SCHEMA), "minhash")
     classes = (
