@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, exact, language, minhash
+from tarmac.llm import bpe, decontaminate, exact, language, minhash, phrases
 from tarmac.llm.common import held_out
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,11 @@ def op2_decontaminate(spark, sf):
     return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
 
 
+@query
+def op3_repeated_passages(spark, sf):
+    return phrases.repeated_passages(table(spark, sf, "documents")).drop("removed")
+
+
 @query
 def op4_language_id(spark, sf):
     docs = table(spark, sf, "documents")
