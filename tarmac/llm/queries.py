@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, exact, language, minhash, phrases
+from tarmac.llm import bpe, decontaminate, exact, language, minhash, phrases, quality, secrets, urls, warc
 from tarmac.llm.common import held_out
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,6 +67,30 @@ def op5_bpe_round_trip(spark, sf):
     return bpe_digests(bpe.round_trip(docs, public_tokenizers.path("byte_bpe_50k.json")))
 
 
+@query
+def op6_quality(spark, sf):
+    docs = table(spark, sf, "documents")
+    forest = quality.train(docs, table(spark, sf, "labels"))
+    scored = quality.score(docs, forest)
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_url_filter(spark, sf):
+    return urls.judge(table(spark, sf, "pages"))
+
+
 @query
 def op8_exact_dedup(spark, sf):
     return exact.exact_duplicates(table(spark, sf, "documents"))
+
+
+@query
+def op9_secret_scan(spark, sf):
+    return secrets.scan(table(spark, sf, "documents"))
+
+
+@query
+def op10_warc(spark, sf):
+    captures = warc.archive_and_index(table(spark, sf, "pages"))
+    return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
