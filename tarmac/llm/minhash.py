@@ -11,8 +11,9 @@ bands miss a pair at similarity 0.85 with probability (1 - 0.85^6)^32, below 1e-
    sets, and linked classes merge into components.
 3. Buckets whose members are all in one component are done. In the others, members of
    different components are compared, tile by tile: a bucket is cut into tiles of bounded size,
-   so that neither a task nor a row holds a bucket. Only pairs that the sizes and one bit per signature
-   value leave plausible are emitted. They are confirmed like the rest.
+   so that neither a task nor a row holds a bucket. Only pairs that the sizes, the parities of 512 parts of
+   the shingle space (each odd difference is at least one shingle that only one set has) and one bit
+   per signature value leave plausible are emitted. They are confirmed like the rest.
 
 So every pair of different components that meets in a bucket is judged, without pairs inside
 a group that is linked already.
@@ -40,6 +41,8 @@ TILE = 256
 # A linked pair agrees in 192 * (1 + similarity) / 2 bits on average; this many standard
 # deviations fewer still count as plausible.
 BIT_DEVIATIONS = 6.5
+SKETCH_WORDS = 2 * PERMUTATIONS // 64
+PARITY_WORDS = 8
 _STRIDE = 1024
 
 _SEEDS = mix64(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64))
@@ -77,6 +80,12 @@ def sketch_bits(signature: np.ndarray) -> np.ndarray:
     return np.packbits((mix64(signature) >> np.uint64(63)).astype(np.uint8)).view("<i8")
 
 
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """Whether each of 512 parts of the shingle space holds an odd number of the set's shingles."""
+    part = (shingles >> np.uint64(55)).astype(np.int64)
+    return np.packbits((np.bincount(part, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)).view("<i8")
+
+
 SIGNATURE_SCHEMA = (
     "id bigint, n_shingles bigint, set_digest binary, bands array<bigint>, bits array<bigint>"
 )
@@ -93,7 +102,7 @@ def _signatures(words: int):
                     signature = min_max(shingles)
                     digests.append(blake2b(shingles.tobytes(), digest_size=16).digest())
                     bands.append(band_keys(signature).view(np.int64))
-                    bits.append(sketch_bits(signature))
+                    bits.append(np.concatenate([sketch_bits(signature), parity_bits(shingles)]))
                 else:
                     digests.append(None)
                     bands.append(None)
@@ -134,17 +143,22 @@ def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _plausible(percent: int, a: str, b: str) -> Column:
-    """What every pair over the threshold satisfies: close sizes, and most bits alike."""
+    """What pairs over the threshold satisfy: close sizes, few odd parts, and most signature bits alike."""
     similarity = percent / 100
     agree = (1 + similarity) / 2
     total = 2 * PERMUTATIONS
     least = total * agree - BIT_DEVIATIONS * (total * agree * (1 - agree)) ** 0.5
-    low = F.least(f"{a}.n_shingles", f"{b}.n_shingles")
-    high = F.greatest(f"{a}.n_shingles", f"{b}.n_shingles")
-    differ = sum(
-        F.bit_count(F.col(f"{a}.bits")[i].bitwiseXOR(F.col(f"{b}.bits")[i])) for i in range(3)
-    )
-    return (100 * low >= percent * high) & (differ <= int(total - least))
+    n_a, n_b = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+
+    def differ(words: range) -> Column:
+        pairs = [(F.col(f"{a}.bits")[i], F.col(f"{b}.bits")[i]) for i in words]
+        return sum(F.bit_count(x.bitwiseXOR(y)) for x, y in pairs)
+
+    close = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    # Sets of that similarity differ in at most this many shingles, hence parities.
+    odd = differ(range(SKETCH_WORDS, SKETCH_WORDS + PARITY_WORDS))
+    few = (100 + percent) * odd <= (100 - percent) * (n_a + n_b)
+    return close & few & (differ(range(SKETCH_WORDS)) <= int(total - least))
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
