@@ -45,7 +45,7 @@ def _spots(first: np.ndarray, second: np.ndarray, level: int, bits: int) -> np.n
 
 
 def _halves(digests: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    words = digests.view("<u8").reshape(len(digests), -1)
+    words = digests.view("<u8").reshape(len(digests), 4)
     return words[:, 0] ^ words[:, 2], words[:, 1] ^ words[:, 3]
 
 

@@ -30,6 +30,12 @@ SECRET_NAMES = (
     "password passwd pwd passphrase secret token apikey api_key api-key access_key access-key auth_token "
     "auth credential credentials private_key client_secret secret_key bearer"
 ).split()
+# Forms of keys that services issue.
+ISSUED = (
+    "^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abpr]-|^AIza[0-9A-Za-z_-]{35}$"
+    "|^eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\."
+)
+ISSUED_STARTS = "AKIA|ASIA|gh[pousr]_|xox[abpr]-|AIza|eyJ"
 # Words whose presence speaks against a random value.
 DICTIONARY = (
     "the and for are but not you all any can had her was one our out day get has him his how man new now old see "
@@ -68,15 +74,15 @@ def _is_name(word: Column) -> Column:
 def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(id, word_pos, name, value, before2, before, word, after) of every candidate word."""
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    # A cheap test of the whole text first: a candidate has a digit or stands behind = or :.
-    texts = texts.filter(F.col("text").rlike("[0-9]|[=:]"))
+    # A cheap test of the whole text first: a candidate has a digit, an issued key's start, or stands behind = or :.
+    texts = texts.filter(F.col("text").rlike(f"[0-9]|[=:]|{ISSUED_STARTS}"))
     placed = texts.select("id", _words(F.col("text")).alias("words")).withColumn(
         "found",
         F.filter(
             F.transform(
                 "words", lambda w, i: F.struct(w.alias("word"), i.cast("int").alias("pos"))
             ),
-            lambda s: (F.length(s["word"]) >= LEAST_LENGTH) & s["word"].rlike("[0-9]|[=:]."),
+            lambda s: (F.length(s["word"]) >= LEAST_LENGTH) & s["word"].rlike(f"[0-9]|[=:].|{ISSUED_STARTS}"),
         ),
     )
     at = placed.select("id", "words", F.explode("found").alias("f"))
@@ -87,7 +93,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return F.coalesce(F.when(inside, F.get("words", pos)), F.lit(""))
 
     # name=value, name:"value" or the bare value; trailing punctuation is not part of it.
-    split = "^[\"'(\\[{<]*(?:([A-Za-z][A-Za-z0-9_-]*)[\"']?[=:]+)?[\"'(]*(.*?)[\"'.,;:!?)\\]}>]*$"
+    split = r'''^["'(\[{<]*(?:([A-Za-z][A-Za-z0-9_-]*)["']?[=:]+(?!/))?["'(]*(.*?)["'.,;:!?)\]}>]*$'''
     word = F.col("f.word")
     found = at.select(
         "id",
@@ -100,6 +106,7 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         near(1).alias("after"),
     )
     random_form = F.col("value").rlike("[0-9]") & (F.length("value") >= 12)
+    random_form = random_form | F.col("value").rlike(ISSUED)
     return found.filter(
         (F.length("value") >= LEAST_LENGTH) & (random_form | _is_name(F.col("name")))
     )
@@ -145,7 +152,7 @@ def described(found: DataFrame) -> DataFrame:
 def own_label() -> Column:
     """1 or 0 where a candidate's form settles it, else null."""
     value = F.col("value")
-    issued = value.rlike("^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abpr]-|^AIza[0-9A-Za-z_-]{35}$|^eyJ[\\w-]+\\.[\\w-]+\\.")
+    issued = value.rlike(ISSUED)
     random = value.rlike("^[0-9a-f]{16,}$|^[0-9A-Za-z+/_-]{20,}=*$") & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     named = (F.col("named_inline") + F.col("named_before")) > 0
     harmless = (

@@ -1,0 +1,84 @@
+from __future__ import annotations
+
+import re
+
+from tarmac.llm import decontaminate, queries
+
+DOCS, ITEMS = "doc_id bigint, text string", "item_id bigint, text string"
+
+
+def run(frame, docs, items):
+    found = decontaminate.contaminated(frame(docs, DOCS), frame(items, ITEMS))
+    return {(r["doc_id"], r["item_id"]): r["reparameterised"] for r in found.collect()}
+
+
+def test_verbatim_items_in_the_given_documents_and_no_others(spark):
+    sf = "/root/testdata/sf0.01"
+    read = lambda name: spark.read.parquet(f"{sf}/{name}.parquet").collect()
+
+    def words(text):
+        return [w.lower().strip(".,") for w in re.findall("[^\x20\x09-\x0d]+", text)]
+
+    held = {}
+    for r in read("documents"):
+        w = words(r["text"])
+        for p in range(len(w) - 7):
+            held.setdefault(tuple(w[p : p + 8]), set()).add(r["doc_id"])
+    full, any_window = set(), set()
+    for r in read("benchmark"):
+        w = words(r["text"])
+        docs = [held.get(tuple(w[p : p + 8]), set()) for p in range(len(w) - 7)]
+        full |= set.intersection(*docs)
+        any_window |= set.union(*docs)
+    got = {r["doc_id"] for r in queries.queries()["op2_decontaminate"](spark, sf).collect()}
+    assert full and full <= got <= any_window
+
+
+QUESTION = "A train leaves the station at 9 and travels 120 km to reach Paris while another train travels 80 km in the rain."
+
+
+def test_new_numbers_names_and_units_are_caught(frame):
+    again = "So: a train leaves the station at 7 and travels 300 miles to reach Berlin while another train travels 45 miles in the rain, ok?"
+    docs = [(1, f"Intro. {QUESTION} Outro."), (2, again), (3, "A train leaves the house and nobody travels at all today, not even in the rain.")]
+    assert run(frame, docs, [(7, QUESTION)]) == {(1, 7): False, (2, 7): True}
+
+
+def test_slots_must_agree(frame):
+    item = "Take 5 apples and 5 pears then sell 5 apples and 5 pears then eat 5 apples and 5 pears at once."
+    same = item.replace("5", "8")
+    torn = "Take 1 apples and 2 pears then sell 3 apples and 4 pears then eat 5 apples and 6 pears at once."
+    assert run(frame, [(1, same), (2, torn)], [(1, item)]) == {(1, 1): True}
+
+
+def test_case_and_trailing_punctuation_do_not_matter(frame):
+    item = "the quick brown fox jumps over the lazy dog near the river bank today"
+    docs = [(1, item.title().replace(" ", "  \n") + "!"), (2, item.upper()), (3, "the quick brown fox sleeps")]
+    assert {d for d, _ in run(frame, docs, [(1, item.replace("dog", "dog,"))])} == {1, 2}
+    assert {d for d, _ in run(frame, [(4, "x y " + item + ". Z")], [(1, item)])} == {4}
+
+
+def test_short_items_nulls_repeats_and_extra_columns(frame, spark):
+    short = "alpha beta gamma delta epsilon zeta"
+    docs = [(1, f"x {short} y"), (1, f"x {short} y"), (2, None), (3, ""), (None, short), (4, "w " * 30_000)]
+    items = [(1, short), (1, short), (2, None), (3, ""), (None, short), (5, "too short")]
+    assert run(frame, docs, items) == {(1, 1): False}
+    clash = frame([(1, short, [1], "x")], "doc_id bigint, text string, template array<int>, hash string")
+    more = frame([(1, short, 3)], "item_id bigint, text string, doc_id int")
+    assert decontaminate.contaminated(clash, more).count() == 1
+    none = spark.createDataFrame([], DOCS)
+    assert decontaminate.contaminated(none, more).collect() == []
+    assert decontaminate.contaminated(clash, spark.createDataFrame([], ITEMS)).collect() == []
+
+
+def test_windows_of_placeholders_alone_match_nothing(frame):
+    numbers = " ".join(str(i) for i in range(40))
+    assert run(frame, [(1, numbers.replace("1", "7"))], [(1, numbers)]) == {}
+
+
+def test_templates_keep_one_token_per_word(frame):
+    texts = ["a 1 b2c -3.5% x", "See Paris, and 5 km. Then Rome", "  ", "x|y | | z", "(a) ... !!", "é 12 kg, À Été"]
+    rows = frame([(i, t) for i, t in enumerate(texts)], DOCS)
+    sizes = rows.selectExpr("text").select(
+        decontaminate.template(rows["text"]).alias("t"), decontaminate.words(rows["text"]).alias("w")
+    )
+    assert all(len(r["t"]) == len(r["w"]) for r in sizes.collect())

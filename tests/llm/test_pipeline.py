@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import hashlib
+
+import corpus_pipeline
+import public_tokenizers
+from test_minhash import brute_force
+from tokenizers import Tokenizer
+
+from tarmac.llm import decontaminate
+
+COLUMNS = {"doc_id", "text", "lang", "source", "n_chars"}
+
+
+def test_stages_equal_a_brute_force_version(spark, frame):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+
+    spoken = [(i, t) for i, t in rows if t and any(map(str.isalpha, t))]
+    last = {}
+    for i, t in spoken:
+        last[t] = max(i, last.get(t, i))
+    unique = [(i, t) for i, t in spoken if last[t] == i]
+    roots = brute_force(unique)
+    apart = [(i, t) for i, t in unique if roots[i][1] == i]
+    leaks = decontaminate.contaminated(
+        frame(apart, "doc_id bigint, text string"), spark.read.parquet(f"{sf}/benchmark.parquet")
+    )
+    dirty = {r["doc_id"] for r in leaks.collect()}
+    clean = [(i, t) for i, t in apart if i not in dirty]
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    expected = {}
+    for i, t in clean:
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        expected[i] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest())
+
+    got = {r["doc_id"]: tuple(r)[1:] for r in corpus_pipeline.run(spark, sf).collect()}
+    assert got == expected
+    assert len(rows) > len(unique) > len(apart) > len(clean) > 0
+
+
+def test_stages_keep_columns_and_take_odd_tables(spark, frame):
+    sf = "/root/testdata/sf0.001"
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, kept string, id int"
+    odd = [
+        (1, None, "en", "s", 0, "k", 1), (2, "", "en", "s", 0, "k", 1), (3, "12 34", None, "s", 0, "k", 1),
+        (4, "hello there", "en", "s", 0, "k", 1), (5, "hello there", "en", "s", 0, "k", 1), (None, "bye now", "en", "s", 0, "k", 1),
+    ]
+    for rows in (odd, []):
+        docs = spark.createDataFrame(rows, schema)
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, docs, sf)
+            assert out.columns == docs.columns
+            docs = spark.createDataFrame(out.collect(), schema)
+        left = sorted((r["doc_id"] or 0) for r in docs.collect())
+        assert left == ([0, 5] if rows else [])
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == len(left)

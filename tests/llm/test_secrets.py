@@ -1,0 +1,65 @@
+from __future__ import annotations
+
+import random
+import re
+
+from tarmac.llm import queries, secrets
+
+SCHEMA = "doc_id bigint, text string"
+
+
+def texts(count, seed=4):
+    rng = random.Random(seed)
+    hexa = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    key = lambda: "AKIA" + "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(16))
+    kinds = [
+        lambda: (f"password={hexa(18)}", 1), lambda: (key(), 1), lambda: (f'token = "{hexa(40)}"', 1),
+        lambda: (f"bob.{rng.randrange(99)}@mail{rng.randrange(9)}.example.com", 0),
+        lambda: (".".join(str(rng.randrange(100, 255)) for _ in range(4)), 0),
+        lambda: (str(rng.randrange(10**15, 10**16)), 0),
+        lambda: (f"http://www.example.com/page{rng.randrange(9)}/index.html", 0),
+    ]
+    out = []
+    for i in range(count):
+        value, label = rng.choice(kinds)()
+        out.append((i, f"some words before {value} and after", label))
+    return out
+
+
+def test_forest_tells_secrets_from_false_findings(frame):
+    rows = texts(400)
+    df = secrets.scan(frame([r[:2] for r in rows], SCHEMA))
+    got = {r["doc_id"]: r["is_secret"] for r in df.collect()}
+    assert got == {i: bool(label) for i, _, label in rows}
+
+
+def test_labelled_findings_decide(frame):
+    rows = [(i, f"order A{i:03d}-77{i % 10}-XYZW-{i * 37} sent", i % 2) for i in range(200)]
+    docs = frame([r[:2] for r in rows], SCHEMA)
+    # By their labels, findings with a long last group are secrets.
+    labels = frame([(i, 1, int(i * 37 >= 1000)) for i, _, _ in rows], "doc_id bigint, word_pos int, label int")
+    got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(docs, labelled=labels).collect()}
+    assert sum(got[i] == (i * 37 >= 1000) for i in got) > 0.95 * len(got) and len(got) == 200
+
+
+def test_given_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = queries.queries()["op9_secret_scan"](spark, sf).collect()
+
+
+    planted = re.compile(r"AKIA[0-9A-Z]{16}|password=[0-9a-f]{10,}|token = \"[0-9a-f]{32,}")
+    with_secret = {i for i, t in docs.items() if planted.search(t)}
+    assert {r["doc_id"] for r in rows if r["is_secret"]} == with_secret
+    assert any(not r["is_secret"] for r in rows)
+
+
+def test_nulls_empty_repeated_and_long_texts(frame, spark):
+    rows = [
+        (1, None, "v"), (2, "", "v"), (3, "password=abc123def456abc123", "v"), (3, "password=abc123def456abc123", "v"),
+        (None, 'x token: "abcdef0123456789abcdef" y', "v"), (5, "word " * 50_000 + "0123456789abcdef0123", "v"), (6, "= : 1", "v"),
+    ]
+    df = secrets.scan(frame(rows, "doc_id bigint, text string, value string"))
+    got = sorted((r["doc_id"] or 0, r["word_pos"], r["name"], r["score"]) for r in df.collect())
+    assert got == [(0, 2, "", 1.0), (3, 0, "password", 1.0), (3, 0, "password", 1.0), (5, 50_000, "", 1.0)]
+    assert secrets.scan(spark.createDataFrame([], SCHEMA)).collect() == []
