@@ -14,9 +14,11 @@ recognised in a text, as that library does by default.
 from __future__ import annotations
 
 import functools
+import itertools
 import json
 import mmap
 import os
+import re
 import tempfile
 import uuid
 from collections import Counter
@@ -30,7 +32,7 @@ from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm.common import ship_package, write_bytes
+from tarmac.llm.common import ship_package, stored, write_bytes
 from tarmac.session import scratch_path
 
 # Fixed value: how byte-level BPE cuts a text into words.
@@ -38,8 +40,8 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 # Words of the lexicon, the most frequent of all documents; bounds the file (a few MB).
 LEXICON_WORDS = 50_000
 LEXICON_WORD_BYTES = 32
-WORDS_HELD = 200_000
-_TEXTS_AT_ONCE = 512
+WORDS_HELD = 300_000
+_TEXTS_AT_ONCE = 256
 _LONG = 48
 
 
@@ -67,81 +69,132 @@ class Vocabulary:
             self.token_bytes[i] = bytes(letters[c] for c in token)
         for content, i in specials.items():
             self.token_bytes[i] = content.encode()
-        self.byte_ids = np.zeros(256, dtype=np.int64)
+        self.byte_ids = np.zeros(256, dtype=np.int32)
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocab[letter]
         self.specials = specials
         self.size = size
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
-        keys = np.array([vocab[a] * size + vocab[b] for a, b in pairs] or [0], dtype=np.int64)
-        ranks = np.arange(len(keys), dtype=np.int64)
-        made = np.array([vocab[a + b] for a, b in pairs] or [0], dtype=np.int64)
-        order = np.argsort(keys)
-        self.keys, self.ranks, self.made = keys[order], ranks[order], made[order]
-        self.no_rank = len(keys)
+        left = np.array([vocab[a] for a, _ in pairs], dtype=np.int64)
+        right = np.array([vocab[b] for _, b in pairs], dtype=np.int64)
+        made = np.array([vocab[a + b] for a, b in pairs], dtype=np.int64)
+        self.no_rank = len(pairs)
+        self._hash_pairs(left * size + right, made)
         self.pattern = regex.compile(WORD)
         self.special_pattern = (
             regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
         )
 
+    def _hash_pairs(self, keys: np.ndarray, made: np.ndarray) -> None:
+        """An open-addressing table from pair to rank and result, probed for all pairs at once."""
+        self.slots = 1 << max(4, (4 * len(keys)).bit_length())
+        self.held = np.full(self.slots, -1, dtype=np.int64)
+        self.rank_at = np.full(self.slots, self.no_rank, dtype=np.int32)
+        self.made_at = np.zeros(self.slots, dtype=np.int32)
+        left, at, self.probes = np.arange(len(keys)), self._slot(keys), 0
+        while len(left):
+            free = np.flatnonzero(self.held[at] == -1)
+            _, first = np.unique(at[free], return_index=True)
+            put = free[first]
+            self.held[at[put]] = keys[left[put]]
+            self.rank_at[at[put]], self.made_at[at[put]] = left[put], made[left[put]]
+            stay = np.ones(len(left), dtype=bool)
+            stay[put] = False
+            left, at = left[stay], (at[stay] + 1) & (self.slots - 1)
+            self.probes += 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (mixed >> np.uint64(64 - self.slots.bit_length() + 1)).astype(np.int64)
+
     def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rank and result of merging each pair; ``no_rank`` where there is no merge."""
-        wanted = left * self.size + right
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        hit = (self.keys[at] == wanted) & (left >= 0) & (right >= 0)
-        return np.where(hit, self.ranks[at], self.no_rank), self.made[at]
+        wanted = left.astype(np.int64) * self.size + right
+        wanted[(left < 0) | (right < 0)] = -2
+        at = self._slot(wanted)
+        rank = np.full(wanted.shape, self.no_rank, dtype=np.int32)
+        made = np.zeros(wanted.shape, dtype=np.int32)
+        hit = self.held[at] == wanted
+        rank[hit], made[hit] = self.rank_at[at[hit]], self.made_at[at[hit]]
+        # Few pairs lie behind their first slot.
+        open_ = np.nonzero(~hit & (self.held[at] != -1) & (wanted >= 0))
+        at, wanted = at[open_], wanted[open_]
+        for _ in range(self.probes - 1):
+            if not len(wanted):
+                break
+            at = (at + 1) & (self.slots - 1)
+            found = self.held[at] == wanted
+            place = tuple(axis[found] for axis in open_)
+            rank[place], made[place] = self.rank_at[at[found]], self.made_at[at[found]]
+            more = ~found & (self.held[at] != -1)
+            at, wanted, open_ = at[more], wanted[more], tuple(axis[more] for axis in open_)
+        return rank, made
 
     def merge(self, words: list[bytes]) -> list[np.ndarray]:
-        """Ids of words by the merge rules, of words of about the same length together."""
-        out: list[np.ndarray | None] = [None] * len(words)
-        sizes = np.array([len(w) for w in words])
-        for low, high in ((0, 8), (8, 16), (16, _LONG)):
+        """Ids of words by the merge rules, one array per word."""
+        counts, ids = self.merge_flat(words)
+        return np.split(ids, np.cumsum(counts)[:-1]) if words else []
+
+    def merge_flat(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each word, and all ids in one array; words of about one length together."""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        counts = np.zeros(len(words), dtype=np.int64)
+        order, parts = [], []
+        for low, high in ((0, 4), (4, 8), (8, 12), (12, 16), (16, 24), (24, _LONG)):
             chosen = np.flatnonzero((sizes > low) & (sizes <= high))
-            for at in range(0, len(chosen), 8192):
-                part = chosen[at : at + 8192]
-                for i, ids in zip(part, self._merge_rows([words[i] for i in part]), strict=True):
-                    out[i] = ids
+            for at in range(0, len(chosen), 4096):
+                part = chosen[at : at + 4096]
+                counts[part], ids = self._merge_rows([words[i] for i in part], sizes[part])
+                order.append(part)
+                parts.append(ids)
         for i in np.flatnonzero(sizes > _LONG):
-            out[i] = self._merge_long(words[i])
-        return [np.empty(0, np.int64) if ids is None else ids for ids in out]
-
-    def _merge_rows(self, words: list[bytes]) -> list[np.ndarray]:
-        width = max(map(len, words))
-        sizes = np.array([len(w) for w in words])
-        raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), dtype=np.uint8)
-        ids = self.byte_ids[raw].reshape(len(words), width)
-        ids[np.arange(width)[None, :] >= sizes[:, None]] = -1
-        ranks = np.full((len(words), width), self.no_rank)
-        made = np.zeros((len(words), width), dtype=np.int64)
+            ids = self._merge_long(words[i])
+            counts[i] = len(ids)
+            order.append(np.array([i]))
+            parts.append(ids.astype(np.int32))
+        if not parts:
+            return counts, np.empty(0, dtype=np.int32)
+        done, flat = np.concatenate(order), np.concatenate(parts)
+        starts = np.zeros(len(words), dtype=np.int64)
+        starts[done] = np.cumsum(counts[done]) - counts[done]
+        return counts, flat[_spread(starts, counts)]
+
+    def _merge_rows(self, words: list[bytes], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        width = int(sizes.max())
+        raw = np.frombuffer(b"".join([w.ljust(width, b"\0") for w in words]), dtype=np.uint8)
+        out = self.byte_ids[raw].reshape(len(words), width)
+        columns = np.arange(width)
+        out[columns[None, :] >= sizes[:, None]] = -1
+        ids, live = out, np.arange(len(words))
+        ranks = np.full(ids.shape, self.no_rank, dtype=np.int32)
+        made = np.zeros(ids.shape, dtype=np.int32)
         if width > 1:
             ranks[:, :-1], made[:, :-1] = self.pair_ranks(ids[:, :-1], ids[:, 1:])
-        live = np.arange(len(words))
-        done: dict[int, np.ndarray] = {}
-        columns = np.arange(width)
-        while len(live):
+        while True:
             best = ranks.argmin(axis=1)
             rows = np.arange(len(live))
-            over = ranks[rows, best] == self.no_rank
-            if over.any():
-                for row in np.flatnonzero(over):
-                    done[live[row]] = ids[row][ids[row] >= 0]
-                stay = ~over
+            stay = ranks[rows, best] < self.no_rank
+            if not stay.all():
+                out[live[~stay], : ids.shape[1]] = ids[~stay]
+                out[live[~stay], ids.shape[1] :] = -1
                 ids, ranks, made, live, best = ids[stay], ranks[stay], made[stay], live[stay], best[stay]
-                rows = np.arange(len(live))
-                if not len(live):
-                    break
+                rows = rows[: len(live)]
+            if not len(live):
+                break
             ids[rows, best] = made[rows, best]
-            # Close the gap behind the merged pair.
-            source = np.minimum(columns[None, :] + (columns[None, :] > best[:, None]), width - 1)
-            last = columns[None, :] == width - 1
-            ids = np.where(last & (source == width - 1), -1, np.take_along_axis(ids, source, 1))
-            ranks = np.where(last, self.no_rank, np.take_along_axis(ranks, source, 1))
-            made = np.take_along_axis(made, source, 1)
+            # Close the gap behind the merged pair; one column is empty then.
+            kept = columns[None, : ids.shape[1]] != (best + 1)[:, None]
+            shape = (len(live), ids.shape[1] - 1)
+            ids, made = ids[kept].reshape(shape), made[kept].reshape(shape)
+            ranks = ranks[kept].reshape(shape)
             for column in (best - 1, best):
-                valid = np.flatnonzero((column >= 0) & (column < width - 1))
+                valid = np.flatnonzero((column >= 0) & (column < shape[1] - 1))
                 at = column[valid]
                 ranks[valid, at], made[valid, at] = self.pair_ranks(ids[valid, at], ids[valid, at + 1])
-        return [done[i] for i in range(len(words))]
+            last = np.flatnonzero(best >= shape[1] - 1)
+            ranks[last, shape[1] - 1] = self.no_rank
+        there = out >= 0
+        return there.sum(axis=1), out[there]
 
     def _merge_long(self, word: bytes) -> np.ndarray:
         """Merge one long word rank by rank, all places of a rank in one sweep."""
@@ -163,16 +216,55 @@ class Vocabulary:
             ids = np.delete(ids, places + 1)
         return ids
 
-    def words(self, text: str) -> Iterator[list[str] | int]:
-        """Lists of words, and the ids of special strings between them."""
+    def chunks(self, text: str) -> list[str]:
+        """The text cut at single spaces that have other characters on both sides.
+
+        No word of the pattern goes over such a space: it starts one. So chunks are encoded
+        independently, each with the space before it. The first chunk of a text or after a special
+        string has none and is marked, as are special strings.
+        """
         if self.special_pattern is None or not any(s in text for s in self.specials):
-            yield self.pattern.findall(text)
-            return
+            return _cut(text)
+        out = []
         for piece in self.special_pattern.split(text):
             if piece in self.specials:
-                yield self.specials[piece]
+                out.append(_SPECIAL + piece)
             elif piece:
-                yield self.pattern.findall(piece)
+                out.extend(_cut(piece))
+        return out
+
+    def pieces(self, chunk: str) -> list[str]:
+        """The words of a chunk; a special string stands for itself."""
+        if chunk.isalpha():  # letters alone are one word
+            return [" " + chunk]
+        body = chunk[:-1]
+        if chunk[-1] in ".,;:!?" and body.isalpha():
+            return [" " + body, chunk[-1]]
+        if chunk[0] == _SPECIAL:
+            return [chunk]
+        return self.pattern.findall(chunk[1:] if chunk[0] == _FIRST else " " + chunk)
+
+
+# Marks before a chunk; lone surrogates are in no valid text.
+_FIRST, _SPECIAL = "\ud800", "\ud801"
+_IRREGULAR = re.compile(r" (?:(?=\s)|(?<=\s.))")
+
+
+def _cut(text: str) -> list[str]:
+    if not text:
+        return []
+    if text[0] == " " or text[-1] == " " or _IRREGULAR.search(text):
+        out = re.split(r"(?<=\S) (?=\S)", text)
+    else:
+        out = text.split(" ")
+    out[0] = _FIRST + out[0]
+    return out
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All indexes of the runs [start, start + count), one run after the other."""
+    ends = np.cumsum(counts)
+    return np.repeat(starts - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
 
 
 # --- the lexicon automaton ----------------------------------------------------------
@@ -278,79 +370,105 @@ class Lexicon:
             row, live, state, total = row[~ended], live[~ended], state[~ended], total[~ended]
         return place
 
-    def ids_at(self, place: int) -> np.ndarray:
-        return self.ids[self.offsets[place] : self.offsets[place + 1]]
+    def ids_at(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of the words at these places, and all ids in one array."""
+        starts = self.offsets[places].astype(np.int64)
+        counts = self.offsets[places + 1] - starts
+        return counts, self.ids[_spread(starts, counts)]
 
 
 # --- encoding -------------------------------------------------------------------------
 
 
+class _Runs:
+    """Numbered names with a run of integers each."""
+
+    def __init__(self):
+        self.number: dict[str, int] = {}
+        self.values = np.empty(0, dtype=np.int32)
+        self.offsets = np.zeros(1, dtype=np.int64)
+
+    def numbers(self, names: list[str]) -> list[int]:
+        """The number of each name; names not met before get the next ones."""
+        known = self.number
+        give = known.setdefault
+        return [give(name, len(known)) for name in names]
+
+    def new(self) -> list[str]:
+        """Names that have a number and no run yet, in order."""
+        return list(itertools.islice(self.number, len(self.offsets) - 1, None))
+
+    def add(self, counts: np.ndarray, values: np.ndarray) -> None:
+        self.values = np.concatenate([self.values, values.astype(np.int32)])
+        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + np.cumsum(counts)])
+
+    def at(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        starts = self.offsets[numbers]
+        counts = self.offsets[numbers + 1] - starts
+        return counts, self.values[_spread(starts, counts)]
+
+
 class Encoder:
-    """Encodes texts; remembers the ids of words it has met, a bounded number of them."""
+    """Encodes texts; remembers chunks and words it has met, a bounded number of them."""
 
     def __init__(self, vocabulary: Vocabulary, lexicon: Lexicon | None):
         self.vocabulary, self.lexicon = vocabulary, lexicon
         self._forget()
 
     def _forget(self) -> None:
-        self.number: dict[str, int] = {}
-        self.ids = np.empty(0, dtype=np.int32)
-        self.offsets = np.zeros(1, dtype=np.int64)
-        for i in self.vocabulary.specials.values():
-            self._add([f"\0special {i}"], [np.array([i])])
-
-    def _add(self, words: list[str], ids: list[np.ndarray]) -> None:
-        for word in words:
-            self.number[word] = len(self.number)
-        sizes = np.cumsum([len(i) for i in ids])
-        self.ids = np.concatenate([self.ids, *ids]).astype(np.int32)
-        self.offsets = np.concatenate([self.offsets, self.offsets[-1] + sizes])
-
-    def _learn(self, words: Iterable[str]) -> None:
-        new = [w for w in words if w not in self.number]
-        raw = [w.encode("utf-8", "surrogatepass") for w in new]
-        ids: list[np.ndarray] = [None] * len(new)  # type: ignore[list-item]
-        place = self.lexicon.find(raw) if self.lexicon else np.full(len(new), -1)
-        for i in np.flatnonzero(place >= 0):
-            ids[i] = self.lexicon.ids_at(place[i])
-        unseen = np.flatnonzero(place < 0)
-        for i, merged in zip(unseen, self.vocabulary.merge([raw[i] for i in unseen]), strict=True):
-            ids[i] = merged
-        if new:
-            self._add(new, ids)
+        self.chunks, self.words = _Runs(), _Runs()  # chunks to words, words to ids
+
+    def _learn(self) -> None:
+        """Words of the new chunks, and ids of the new words."""
+        cut = [self.vocabulary.pieces(c) for c in self.chunks.new()]
+        numbers = self.words.numbers([p for own in cut for p in own])
+        self.chunks.add(np.fromiter(map(len, cut), np.int64, len(cut)), np.array(numbers, dtype=np.int32))
+        new = self.words.new()
+        counts = np.zeros(len(new), dtype=np.int64)
+        specials = self.vocabulary.specials
+        raw = [b"" if w[0] == _SPECIAL else w.encode() for w in new]
+        place = self.lexicon.find(raw) if self.lexicon else np.full(len(raw), -1)
+        known = np.flatnonzero(place >= 0)
+        unseen = np.flatnonzero((place < 0) & (np.fromiter(map(len, raw), np.int64, len(raw)) > 0))
+        special = [i for i, w in enumerate(new) if w[0] == _SPECIAL]
+        parts = [np.empty(0, dtype=np.int32)]
+        if len(known):
+            counts[known], ids = self.lexicon.ids_at(place[known])
+            parts.append(ids)
+        counts[unseen], ids = self.vocabulary.merge_flat([raw[i] for i in unseen])
+        parts.append(ids)
+        counts[special] = 1
+        parts.append(np.array([specials[new[i][1:]] for i in special], dtype=np.int32))
+        order = np.concatenate([known, unseen, np.array(special, dtype=np.int64)])
+        starts = np.zeros(len(counts), dtype=np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        self.words.add(counts, np.concatenate(parts)[_spread(starts, counts)])
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Row offsets and ids of the texts; null encodes as an empty text."""
-        if len(self.number) > WORDS_HELD:
+        if len(self.chunks.number) > WORDS_HELD:
             self._forget()
-        cut: list[list[str]] = []
+        sizes, met = [], []
         for text in texts:
-            own: list[str] = []
-            for piece in self.vocabulary.words(text or ""):
-                own.extend([f"\0special {piece}"] if isinstance(piece, int) else piece)
-            cut.append(own)
-        distinct = set()
-        for own in cut:
-            distinct.update(own)
-        self._learn(distinct)
-        sizes = np.array([len(own) for own in cut], dtype=np.int64)
-        get = self.number.__getitem__
-        words = np.fromiter((get(w) for own in cut for w in own), np.int64, int(sizes.sum()))
-        counts = self.offsets[words + 1] - self.offsets[words]
-        ends = np.cumsum(counts)
-        shift = np.repeat(self.offsets[words] - (ends - counts), counts)
-        ids = self.ids[shift + np.arange(len(shift))]
-        rows = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-        return rows, ids
-
-
-@functools.lru_cache(maxsize=2)
+            own = self.vocabulary.chunks(text) if text else []
+            sizes.append(len(own))
+            met.extend(self.chunks.numbers(own))
+        self._learn()
+        word_counts, words = self.chunks.at(np.array(met, dtype=np.int64))
+        counts, ids = self.words.at(words)
+        # Ids up to each word, then up to each chunk, then up to each text.
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        ends = ends[np.concatenate([[0], np.cumsum(word_counts)])]
+        return ends[np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])], ids
+
+
+@functools.lru_cache(maxsize=1)
 def _vocabulary(spec_file: str) -> Vocabulary:
     with open(spec_file, encoding="utf-8") as file:
         return Vocabulary(file.read())
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _encoder(spec_file: str, lexicon_file: str | None) -> Encoder:
     return Encoder(_vocabulary(spec_file), Lexicon(lexicon_file) if lexicon_file else None)
 
@@ -390,17 +508,23 @@ class Codec:
         def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
             tokens = _vocabulary(SparkFiles.get(self.spec)).token_bytes
             for part in parts:
-                yield pa.array([_decoded(tokens, ids) for ids in part], pa.string())
+                flat = part.values.fill_null(-1).to_numpy()
+                bounds = part.offsets.to_numpy()
+                null = part.is_null().to_numpy(zero_copy_only=False)
+                yield pa.array(
+                    [
+                        "" if null[i] else decode_ids(tokens, flat[bounds[i] : bounds[i + 1]])
+                        for i in range(len(part))
+                    ],
+                    pa.string(),
+                )
 
         return run(column)
 
 
-def _decoded(tokens: list[bytes], ids: pa.ListScalar) -> str:
-    if not ids.is_valid:
-        return ""
-    held = len(tokens)
-    wanted = ids.values.fill_null(-1).to_pylist() if ids.values.null_count else ids.values.to_pylist()
-    return b"".join([tokens[i] for i in wanted if 0 <= i < held]).decode("utf-8", "replace")
+def decode_ids(tokens: list[bytes], ids: np.ndarray) -> str:
+    known = ids[(ids >= 0) & (ids < len(tokens))]
+    return b"".join([tokens[i] for i in known.tolist()]).decode("utf-8", "replace")
 
 
 # --- building the lexicon ---------------------------------------------------------------
@@ -430,7 +554,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def frequent_words(
     docs: DataFrame, text_col: str = "text", words: int = LEXICON_WORDS
 ) -> list[str]:
-    """The most frequent white-space separated words of all texts; at most ``words``, ties by text."""
+    """The most frequent white-space separated words of all texts, at most ``words``; ties stay or go together."""
     ship_package(docs.sparkSession)
     counted = (
         docs.select(F.col(text_col).cast("string").alias("text"))
@@ -438,8 +562,22 @@ def frequent_words(
         .groupBy("word")
         .agg(F.sum("n").alias("n"))
     )
-    top = counted.orderBy(F.desc("n"), "word").limit(words).select("word")
-    return [r["word"] for r in top.collect()]
+    counted = stored(counted, "bpe-words")
+    # The lowest count that keeps the list within bounds, from how many words have each count.
+    least, held = None, 0
+    for n, with_n in _largest_counts(counted, words):
+        if held + with_n > words:
+            break
+        least, held = n, held + with_n
+    if least is None:
+        return []
+    return sorted(r["word"] for r in counted.filter(F.col("n") >= least).select("word").collect())
+
+
+def _largest_counts(counted: DataFrame, rows: int) -> list[tuple[int, int]]:
+    """The largest counts with their numbers of words: no more of them than words are wanted."""
+    spread = counted.groupBy("n").agg(F.count("*").alias("with_n"))
+    return [tuple(r) for r in spread.orderBy(F.desc("n")).limit(rows).collect()]
 
 
 def _distribute(spark: SparkSession, data: bytes, name: str) -> str:
