@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tarmac.model import CORRUPT_FIELD, FLIGHT_COLUMNS, NULL_FLAGS, RANGE_FLAGS
 from tarmac.operators.dedup import LOAD_TIME
 from tarmac.operators.quality import flag, range_flag_columns, with_null_flags
+from tarmac.sources.raw import FOLDER, SOURCE_FILE
 
 CORRUPT = "corrupt_record"
 
@@ -25,13 +26,18 @@ def _corrupt(raw: DataFrame):
 
 
 def bronze_flights(
-    raw: DataFrame, null_is_valid: bool = False, carry: Sequence[str] = (LOAD_TIME,)
+    raw: DataFrame, null_is_valid: bool = False, carry: Sequence[str] = (LOAD_TIME, SOURCE_FILE)
 ) -> DataFrame:
     """The Bronze table: flight columns, null flags, range flags, the corrupt line,
     and ``year`` and ``month`` to partition by. One projection over the scan.
 
-    ``carry`` names columns that ingest added; those present are kept.
+    ``carry`` names columns that ingest added; those present are kept. Rows that
+    know their landing folder are partitioned by it, so that a line whose date
+    does not parse lies with the others of its month; the rest go by their date.
     """
+    year, month = F.year("FlightDate"), F.month("FlightDate")
+    if set(FOLDER) <= set(raw.columns):
+        year, month = F.coalesce(FOLDER[0], year), F.coalesce(FOLDER[1], month)
     ranges = range_flag_columns(null_is_valid)
     return raw.select(
         *FLIGHT_COLUMNS,
@@ -39,8 +45,8 @@ def bronze_flights(
         *(ranges[name].alias(name) for name in RANGE_FLAGS),
         _corrupt(raw),
         *(c for c in carry if c in raw.columns),
-        F.year("FlightDate").alias("year"),
-        F.month("FlightDate").alias("month"),
+        year.alias("year"),
+        month.alias("month"),
     )
 
 

@@ -9,12 +9,16 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.operators.airports import home_airports
-from tarmac.operators.completeness import held_months, not_yet_loaded
+from tarmac.operators.completeness import not_yet_loaded
+from tarmac.operators.dedup import LOAD_TIME
 from tarmac.plans import gold
 from tarmac.plans.bronze import bronze_flights
-from tarmac.plans.silver import silver_flights, with_load_time
+from tarmac.plans.silver import silver_flights
 from tarmac.sources import catalog, raw, tables
 
+# What tells one delivered file from another.
+DELIVERY = (raw.SOURCE_FILE, LOAD_TIME)
+
 
 def load_airports(spark: SparkSession, source: str, path: str, fmt: str = "parquet") -> None:
     """Store the home airports of the JSON dimension."""
@@ -23,18 +27,30 @@ def load_airports(spark: SparkSession, source: str, path: str, fmt: str = "parqu
 
 def load_bronze(spark: SparkSession, landing: str, path: str, fmt: str = "parquet") -> None:
     """Replace Bronze by everything in the landing folder."""
-    tables.write_partitioned(_incoming(spark, landing), path, fmt=fmt)
+    lines = raw.with_delivery(raw.read_landing(spark, landing))
+    tables.write_partitioned(bronze_flights(lines), path, fmt=fmt)
 
 
 def extend_bronze(spark: SparkSession, landing: str, path: str, fmt: str = "parquet") -> None:
-    """Add the months Bronze does not hold yet. Running it again adds nothing."""
-    loaded = held_months(tables.read_table(spark, path, fmt))
-    new = not_yet_loaded(_incoming(spark, landing), loaded)
-    tables.write_partitioned(new, path, fmt=fmt, replace="partitions")
+    """Append the landing files that Bronze does not hold yet, and read no others.
+
+    A file is known by its path and delivery time, which Bronze has in every row:
+    a late file of a month already there is added, and one delivered again under its
+    old name is added beside the first, whose filings it supersedes in Silver.
+    Running it again adds nothing. The names of the new files reach the driver,
+    which lists them for Spark anyway.
+    """
+    new = not_yet_loaded(
+        raw.landing_files(spark, landing), tables.read_table(spark, path, fmt), DELIVERY
+    )
+    files = [row[0] for row in new.select(raw.SOURCE_FILE).collect()]
+    if files:
+        append_deliveries(raw.with_delivery(raw.read_flight_csv(spark, files)), path, fmt)
 
 
-def _incoming(spark: SparkSession, landing: str) -> DataFrame:
-    return bronze_flights(with_load_time(raw.required_columns(raw.read_landing(spark, landing))))
+def append_deliveries(lines: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append lines of new files to Bronze."""
+    tables.write_partitioned(bronze_flights(lines), path, fmt=fmt, replace="nothing")
 
 
 def load_silver(

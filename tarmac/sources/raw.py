@@ -28,9 +28,13 @@ CSV_OPTIONS = {
 
 LANDING_GLOB = "*/*/"
 
+# What ingest adds to each row: the file it came from, the time that file was delivered, its folder.
+SOURCE_FILE = "source_file"
+FOLDER = ("folder_year", "folder_month")
 
-def read_flight_csv(spark: SparkSession, path: str, **options) -> DataFrame:
-    """All raw fields of the files at ``path`` (a glob is fine), typed by position."""
+
+def read_flight_csv(spark: SparkSession, path: str | list[str], **options) -> DataFrame:
+    """All raw fields of the files at ``path`` (a glob or a list is fine), typed by position."""
     return spark.read.schema(RAW_FLIGHT_SCHEMA).options(**CSV_OPTIONS, **options).csv(path)
 
 
@@ -39,13 +43,41 @@ def read_landing(spark: SparkSession, root: str) -> DataFrame:
     return read_flight_csv(spark, f"{root.rstrip('/')}/{LANDING_GLOB}")
 
 
+def with_delivery(lines: DataFrame) -> DataFrame:
+    """The required columns with file, delivery time (``load_timestamp``) and folder of each line."""
+    file = F.col("_metadata.file_path")
+
+    def folder(name: str):
+        return F.regexp_extract(file, f"/{name}=([0-9]+)/", 1).try_cast("int").alias(f"folder_{name}")
+
+    return lines.select(
+        *FLIGHT_COLUMNS,
+        CORRUPT_FIELD,
+        file.alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias("load_timestamp"),
+        folder("year"),
+        folder("month"),
+    )
+
+
+def landing_files(spark: SparkSession, root: str) -> DataFrame:
+    """(source_file, load_timestamp) of every landing file; a listing, no file is opened."""
+    files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{LANDING_GLOB}")
+    return files.select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias("load_timestamp"),
+    )
+
+
 def required_columns(raw: DataFrame) -> DataFrame:
     """The columns Bronze keeps, and the text of lines that did not parse."""
     return raw.select(*FLIGHT_COLUMNS, CORRUPT_FIELD)
 
 
-def write_landing(flights: DataFrame, root: str) -> None:
-    """Flights as raw CSV below ``root/year=YYYY/month=M/``.
+def write_landing(
+    flights: DataFrame, root: str, day: str = "FlightDate", mode: str = "error"
+) -> None:
+    """Flights as raw CSV below ``root/year=YYYY/month=M/``, foldered by the date in ``day``.
 
     Fields the input lacks are written empty, and each line ends with a comma.
     Fields are read by position, so they are written under positional names;
@@ -53,7 +85,7 @@ def write_landing(flights: DataFrame, root: str) -> None:
     many tasks as its size asks for (``rebalance``), however large it is.
     """
     have = set(flights.columns)
-    day = F.col("FlightDate")
+    day = F.col(day)
     derived = {
         "Year": F.year(day),
         "Quarter": F.quarter(day),
@@ -72,7 +104,8 @@ def write_landing(flights: DataFrame, root: str) -> None:
     (
         flights.select(*fields, F.year(day).alias("year"), F.month(day).alias("month"))
         .hint("rebalance", "year", "month")
-        .write.partitionBy("year", "month")
+        .write.mode(mode)
+        .partitionBy("year", "month")
         .options(header="true", emptyValue="")
         .csv(root)
     )
@@ -86,11 +119,15 @@ def read_airport_json(spark: SparkSession, path: str, infer: bool = False) -> Da
 
 __all__ = [
     "CSV_OPTIONS",
+    "FOLDER",
     "LANDING_GLOB",
+    "SOURCE_FILE",
     "TRAILING_FIELD",
+    "landing_files",
     "read_airport_json",
     "read_flight_csv",
     "read_landing",
     "required_columns",
+    "with_delivery",
     "write_landing",
 ]

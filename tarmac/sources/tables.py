@@ -2,23 +2,34 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tarmac.session import scratch_path
+
 PARTITIONS = ("year", "month")
 CLUSTER_BY = ("airline_code", "origin_code")
+RANGE_BYTES = 64 << 20
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     return spark.read.format(fmt).load(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at a path, wherever Spark can reach."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def read_query(spark: SparkSession, query: str, fmt: str = "jdbc", **options) -> DataFrame:
     """What a serving database answers to a query, through its Spark connector.
 
-    The connector's jar and its connection options are up to the session.
+    The connector's jar and its connection options are up to the session. Not
+    covered by a test: that takes a server.
     """
     return spark.read.format(fmt).options(**options).option("query", query).load()
 
@@ -58,17 +69,19 @@ def write_partitioned(
 
     ``replace="table"`` overwrites everything, schema included;
     ``replace="partitions"`` overwrites just the partitions the rows belong to,
-    so writing a batch again leaves the table as it is. Rebalancing gives each
+    so writing a batch again leaves the table as it is; ``replace="nothing"``
+    appends. Rebalancing gives each
     partition few files of even size, and a very large one several.
     """
+    writer = df.hint("rebalance", *partitions).write.format(fmt).partitionBy(*partitions)
+    if replace == "nothing":
+        writer.mode("append").save(path)
+        return
     modes = {"table": "static", "partitions": "dynamic"}
     (
-        df.hint("rebalance", *partitions)
-        .write.format(fmt)
-        .mode("overwrite")
+        writer.mode("overwrite")
         .option("overwriteSchema", "true")
         .option("partitionOverwriteMode", modes[replace])
-        .partitionBy(*partitions)
         .save(path)
     )
 
@@ -80,17 +93,27 @@ def write_clustered(
     partitions: Sequence[str] = PARTITIONS,
     spread_by: Sequence[str] = ("FlightDate", "Flight_Number_Reporting_Airline"),
     fmt: str = "parquet",
+    range_bytes: int = RANGE_BYTES,
     **options,
 ) -> None:
     """Write a partitioned table whose files each cover a narrow range of the
     clustering columns, so that a filter on them skips files and row groups.
 
-    Ranges end with ``spread_by``, which lets one very frequent airline and
-    origin be cut over several tasks. ``options`` go to the writer, for formats
-    that keep statistics of their own.
+    The rows are stored once in the shared folder: sampling the range bounds and
+    sorting then read the copy and do not compute the rows again. There is a range
+    per ``range_bytes`` of the copy. Ranges end with ``spread_by``, which lets one
+    very frequent airline and origin be cut over several tasks. ``options`` go to
+    the writer, for formats that keep statistics of their own.
     """
+    spark = df.sparkSession
+    copy = scratch_path(spark, "clustered")
+    df.write.parquet(copy)
+    rows = spark.read.schema(df.schema).parquet(copy)
+    size = spark.read.format("binaryFile").load(copy).agg(F.sum("length")).first()[0]
     (
-        df.repartitionByRange(*partitions, *cluster_by, *spread_by)
+        rows.repartitionByRange(
+            max(1, math.ceil((size or 0) / range_bytes)), *partitions, *cluster_by, *spread_by
+        )
         .sortWithinPartitions(*partitions, *cluster_by)
         .write.format(fmt)
         .mode("overwrite")

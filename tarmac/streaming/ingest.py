@@ -1,19 +1,20 @@
-"""Landing files to Bronze, file by file: a file is loaded once, however often it runs.
+"""Landing files to Bronze as they arrive, through the writer of the batch jobs.
 
-The only streaming there is. It stands beside the batch jobs for landing folders
-that grow: the checkpoint remembers which files are loaded, a run takes the new
-ones and ends, and a run that fails is repeated without loading a file twice.
+The only streaming there is. The checkpoint remembers which files were seen; each
+batch is written by the batch writer, which leaves out files that Bronze holds. So
+a batch that is repeated after a failure adds nothing twice, and batch jobs and
+streaming may take turns on one table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.model import RAW_FLIGHT_SCHEMA
-from tarmac.plans.bronze import bronze_flights
-from tarmac.plans.silver import with_load_time
-from tarmac.sources.raw import CSV_OPTIONS, LANDING_GLOB, required_columns
-from tarmac.sources.tables import PARTITIONS
+from tarmac.operators.completeness import not_yet_loaded
+from tarmac.plans.jobs import DELIVERY, append_deliveries
+from tarmac.sources.raw import CSV_OPTIONS, LANDING_GLOB, with_delivery
+from tarmac.sources.tables import read_table, table_exists
 
 
 def ingest_new_files(
@@ -25,19 +26,23 @@ def ingest_new_files(
     fmt: str = "parquet",
 ) -> None:
     """Append the files that arrived since the last run to Bronze, then return."""
+
+    def write(batch: DataFrame, _: int) -> None:
+        if table_exists(batch.sparkSession, path):
+            batch = not_yet_loaded(batch, read_table(batch.sparkSession, path, fmt), DELIVERY)
+        append_deliveries(batch, path, fmt)
+
     lines = (
         spark.readStream.schema(RAW_FLIGHT_SCHEMA)
         .options(**CSV_OPTIONS)
         .option("maxFilesPerTrigger", files_per_batch)
         .csv(f"{landing.rstrip('/')}/{LANDING_GLOB}")
     )
-    bronze = bronze_flights(with_load_time(required_columns(lines)))
     run = (
-        bronze.writeStream.format(fmt)
-        .partitionBy(*PARTITIONS)
+        with_delivery(lines)
+        .writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
-        .start(path)
+        .start()
     )
     run.awaitTermination()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tarmac.model import CORRUPT_FIELD, FLIGHT_COLUMNS, RAW_FLIGHT_FIELDS
 from tarmac.operators import completeness
+from tarmac.operators.dedup import latest_filing
 from tarmac.plans import jobs
 from tarmac.plans.bronze import bronze_flights
 from tarmac.session import scratch_path, shared_folder
@@ -152,8 +153,10 @@ def test_months_missing_and_loaded(spark):
     grid = completeness.month_grid(spark, "2020-11-01", "2021-02-01")
     held = spark.createDataFrame([(2020, 12), (2021, 2), (1999, 1)], "year int, month int")
     assert rows_of(completeness.missing_months(grid, held)) == [(2020, 11), (2021, 1)]
-    batch = spark.createDataFrame([(2021, 2, "a"), (2021, 3, "b"), (None, None, "c")], "year int, month int, v string")
-    assert rows_of(completeness.not_yet_loaded(batch, held).select("v")) == [("b",), ("c",)]
+    files = spark.createDataFrame([("a", 1), ("a", 2), ("b", 1), (None, 1)], "file string, time int")
+    loaded = spark.createDataFrame([("a", 1), ("a", 1), (None, 1)], "file string, time int")
+    new = completeness.not_yet_loaded(files, loaded, ["file", "time"])
+    assert rows_of(new) == [("a", 2), ("b", 1)]
 
 
 def test_catalog(spark, monthly, tmp_path):
@@ -202,7 +205,67 @@ def test_streamed_files_are_loaded_once(spark, landing, tmp_path):
     ingest_new_files(spark, landing, path, checkpoint)
     got = tables.read_table(spark, path)
     assert got.count() == 7 and got.filter("load_timestamp is null").count() == 0
-    assert got.select("load_timestamp").distinct().count() == 2
+    assert got.select("load_timestamp").distinct().count() == 3, "each file has its own"
+
+
+def test_batch_jobs_and_streaming_take_turns_on_one_table(spark, landing, tmp_path):
+    path, checkpoint = str(tmp_path / "bronze"), str(tmp_path / "checkpoint")
+    expected = 6
+
+    def check():
+        got = tables.read_table(spark, path)
+        assert got.count() == expected
+        assert got.select("source_file", "Flight_Number_Reporting_Airline").distinct().count() == expected
+
+    jobs.load_bronze(spark, landing, path)
+    check()
+    for n, step in enumerate(("stream", "batch", "stream", "batch")):
+        write_month(
+            landing, 2021, 3, [line(Flight_Number_Reporting_Airline=str(50 + n))], name=f"late{n}.csv"
+        )
+        expected += 1
+        for _ in range(2):
+            if step == "stream":
+                ingest_new_files(spark, landing, path, checkpoint)
+            else:
+                jobs.extend_bronze(spark, landing, path)
+            check()
+
+
+def test_late_files_and_bad_dates_of_held_months_are_kept(spark, landing, tmp_path):
+    path = str(tmp_path / "bronze")
+    jobs.load_bronze(spark, landing, path)
+    late = [line(FlightDate="later", Flight_Number_Reporting_Airline="8"), line(Flight_Number_Reporting_Airline="9")]
+    write_month(landing, 2021, 3, late, name="b.csv")
+    for _ in range(2):
+        jobs.extend_bronze(spark, landing, path)
+    rows = tables.read_table(spark, path).select("year", "month", "FlightDate", "Flight_Number_Reporting_Airline")
+    assert rows.filter("year = 2021 and month = 3").count() == 7
+    assert rows.filter("FlightDate is null").count() == 3 and rows.count() == 8
+
+
+def test_a_file_delivered_again_supersedes_its_first_delivery(spark, landing, tmp_path):
+    path = str(tmp_path / "bronze")
+    jobs.load_bronze(spark, landing, path)
+    again = os.path.join(landing, "year=2021", "month=4", "a.csv")
+    write_month(landing, 2021, 4, [line(FlightDate="2021-04-01", Flight_Number_Reporting_Airline="5", DepDelay="99.00")])
+    os.utime(again, (2_000_000_000, 2_000_000_000))
+    jobs.extend_bronze(spark, landing, path)
+    bronze = tables.read_table(spark, path)
+    assert bronze.filter("month = 4").count() == 2
+    kept = latest_filing(bronze).filter("month = 4").collect()
+    assert [r.DepDelay for r in kept] == [99.0]
+
+
+def test_extending_opens_only_new_files(spark, landing, tmp_path, monkeypatch):
+    path, read = str(tmp_path / "bronze"), []
+    jobs.load_bronze(spark, landing, path)
+    write_month(landing, 2021, 5, [line(FlightDate="2021-05-01")], name="new.csv")
+    plain = raw.read_flight_csv
+    monkeypatch.setattr(raw, "read_flight_csv", lambda s, files: read.extend(files) or plain(s, files))
+    for _ in range(2):
+        jobs.extend_bronze(spark, landing, path)
+    assert [os.path.basename(f) for f in read] == ["new.csv"]
 
 
 def test_jobs_end_to_end(spark, landing, tmp_path):
@@ -216,7 +279,7 @@ def test_jobs_end_to_end(spark, landing, tmp_path):
     for _ in range(2):
         jobs.extend_bronze(spark, landing, paths["bronze"])
     bronze = tables.read_table(spark, paths["bronze"])
-    assert bronze.filter("year is not null").count() == 6
+    assert bronze.count() == 8 and bronze.filter("year is null or month is null").count() == 0
     jobs.load_silver(spark, paths["bronze"], paths["airports"], paths["silver"])
     silver = tables.read_table(spark, paths["silver"])
     assert silver.filter("month = 5").count() == 1
