@@ -17,11 +17,6 @@ from tarmac.session import scratch_path
 
 LOAD_TIME = "load_timestamp"
 
-# A flight is numbered apart from the others when its filings exceed both bounds.
-# The share bounds how many such flights there can be (1 / share).
-HEAVY_SHARE = 1 / 1000
-HEAVY_ROWS = 1_000_000
-
 # Most copies of one row that a single output row is expanded into at a time.
 _COPY_CHUNK = 100_000
 
@@ -108,85 +103,31 @@ def numbered_filings(
     key: Sequence[str] = FLIGHT_KEY,
     load_time: str = LOAD_TIME,
     tie_break: Sequence[str] | None = None,
-    heavy_share: float = HEAVY_SHARE,
-    heavy_rows: int = HEAVY_ROWS,
+    slices: int | None = None,
 ) -> DataFrame:
     """All rows with ``row_num``: 1 for the latest filing of a flight, then 2, 3, ...
 
-    A plain window, unless some flight has so many filings that one task could
-    not sort them; those flights are cut into slices of their own order first.
+    One form for flights of any size. Equal rows are counted together, which reads
+    the input once and stores it. A range partitioning by flight and filing order
+    cuts the rows into slices (``slices``, by default the session's shuffle
+    partitions), a flight with many filings into several. A row's number is its
+    place in its slice, plus the sizes of the flight's earlier slices. The slices
+    are stored too, because range bounds are sampled: every use must see the same.
     """
     order = filing_order(df, key, load_time, tie_break)
-    heavy = _heavy_flights(df, key, heavy_share, heavy_rows)
-    if not heavy:
-        return _numbered(df, key, order)
-    is_heavy = F.xxhash64(*key).isin(heavy)
-    light = _numbered(df.filter(~is_heavy), key, order)
-    return light.unionByName(_number_in_slices(df.filter(is_heavy), key, order))
-
-
-def _numbered(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
-    return _number(df, key, order).withColumn("row_num", F.col("row_num").cast("bigint"))
-
-
-def _heavy_flights(
-    df: DataFrame, key: Sequence[str], share: float, least_rows: int
-) -> list[int]:
-    """Key hashes of the flights above both bounds: at most ``1 / share`` of them.
-
-    Frequent-item counting finds every candidate in one pass without a shuffle;
-    a second pass counts just the candidates. Hashes that collide only route a
-    few more rows to the sliced form.
-    """
-    total = df.count()
-    if total <= least_rows:
-        return []
-    hashes = df.select(F.xxhash64(*key).alias("h"))
-    candidates = hashes.stat.freqItems(["h"], share).first()[0]
-    bound = max(least_rows, int(share * total))
-    counts = hashes.filter(F.col("h").isin(list(candidates))).groupBy("h").count()
-    return [row.h for row in counts.filter(F.col("count") > bound).collect()]
-
-
-def _number_in_slices(df: DataFrame, key: Sequence[str], order: list[Column]) -> DataFrame:
-    """``row_num`` for flights too large for one task.
-
-    Equal rows are counted together first. A range partitioning by flight and
-    filing order then cuts each flight into slices; a row's number is the size of
-    the slices before its own plus its place in its slice. The slices are written
-    out, because range bounds are sampled: every use must see the same ones.
-    """
-    spark = df.sparkSession
-    path = scratch_path(spark, "filings")
-    (
-        df.groupBy(*df.columns)
-        .agg(F.count("*").alias("_copies"))
-        .repartitionByRange(*key, *order)
-        .withColumn("_slice", F.spark_partition_id())
-        .write.parquet(path)
-    )
-    sliced = spark.read.parquet(path)
-    group = [*key, "_slice"]
+    counted = _kept_apart(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), "filings")
+    ranges = [*key, *order]
+    cut = counted.repartitionByRange(slices, *ranges) if slices else counted.repartitionByRange(*ranges)
+    sliced = _kept_apart(cut.withColumn("_slice", F.spark_partition_id()), "slices")
 
-    # One row per flight and slice: a heavy flight has at most one per partition.
-    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    offsets = (
-        sliced.groupBy(*group)
-        .agg(F.sum("_copies").alias("_size"))
-        .withColumn("_offset", F.coalesce(F.sum("_size").over(before), F.lit(0)))
-        .drop("_size")
-    )
-    within = Window.partitionBy(*group).orderBy(*order).rowsBetween(
+    within = Window.partitionBy(*key, "_slice").orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0
     )
     ranked = sliced.withColumn("_last", F.sum("_copies").over(within))
-    same_slice = [F.col(f"r.{c}").eqNullSafe(F.col(f"o.{c}")) for c in group]
     placed = (
         ranked.alias("r")
-        .join(F.broadcast(offsets).alias("o"), same_slice)
-        .select("r.*", (F.col("_offset") + F.col("_last")).alias("_end"))
+        .join(F.broadcast(_slice_offsets(sliced, key)).alias("o"), _same([*key, "_slice"], "r", "o"), "left")
+        .select("r.*", (F.coalesce("_offset", F.lit(0)) + F.col("_last")).alias("_end"))
     )
     # Back to one row per copy, a bounded number at a time.
     chunk_starts = F.sequence(
@@ -198,3 +139,35 @@ def _number_in_slices(df: DataFrame, key: Sequence[str], order: list[Column]) ->
     return chunks.repartition(*key, "_from").select(
         *df.columns, F.explode(F.sequence("_from", "_to")).alias("row_num")
     )
+
+
+def _slice_offsets(sliced: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Filings of a flight before each of its slices, for flights that may cross a bound.
+
+    Only the first and the last flight of a slice can, so there are at most two rows
+    per slice, and these are broadcast.
+    """
+    flight = F.struct(*key)
+    edges = sliced.groupBy("_slice").agg(F.min(flight).alias("_low"), F.max(flight).alias("_high"))
+    crossing = edges.select(F.explode(F.array("_low", "_high")).alias("_flight")).select("_flight.*")
+    sizes = (
+        sliced.alias("s")
+        .join(F.broadcast(crossing.distinct()).alias("c"), _same(key, "s", "c"), "left_semi")
+        .groupBy(*key, "_slice")
+        .agg(F.sum("_copies").alias("_size"))
+    )
+    before = Window.partitionBy(*key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select(
+        *key, "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+    )
+
+
+def _same(columns: Sequence[str], left: str, right: str) -> list[Column]:
+    return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+
+
+def _kept_apart(df: DataFrame, name: str) -> DataFrame:
+    """Stored in the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 << 20
-SPREAD = 32
 
 
 def fits_broadcast(
@@ -29,24 +28,18 @@ def lookup_join(
     on: dict[str, str],
     how: str = "left",
     broadcast: bool | None = None,
-    spread: int = SPREAD,
 ) -> DataFrame:
     """Join ``rows`` to ``lookup`` on pairs ``column of rows -> column of lookup``.
 
     ``how`` is left, inner, left_semi or left_anti. A lookup of checked size is
-    broadcast: the rows are not shuffled at all. A larger one is shuffled with
-    every key spread over ``spread`` tasks, the lookup being repeated per slot, so
-    that a key holding a third of all rows does not end in one task. Both forms
-    give the same rows. ``broadcast`` skips the check when the caller has made it.
+    broadcast: the rows are not shuffled at all. A larger one is joined by a
+    shuffle, in which Spark splits the tasks of a key that has a large share of the
+    rows (adaptive skew join). Both forms give the same rows. ``broadcast`` skips
+    the check when the caller has made it.
     """
     if broadcast is None:
         broadcast = fits_broadcast(lookup)
     pairs = [rows[left] == lookup[right] for left, right in on.items()]
     if broadcast:
         return rows.join(F.broadcast(lookup), pairs, how)
-    # The slot follows the input partition, so a task that runs again picks it again.
-    rows = rows.withColumn("_slot", F.spark_partition_id() % spread)
-    lookup = lookup.withColumn("_lookup_slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
-    pairs = [rows[left] == lookup[right] for left, right in on.items()]
-    joined = rows.join(lookup, [*pairs, rows["_slot"] == lookup["_lookup_slot"]], how)
-    return joined.drop("_slot", "_lookup_slot")
+    return rows.join(lookup, pairs, how)

@@ -101,23 +101,35 @@ def skewed(spark):
     )
 
 
-def test_sliced_numbering_equals_the_plain_window(skewed):
-    plain = dedup.numbered_filings(skewed)
-    sliced = dedup.numbered_filings(skewed, heavy_rows=200, heavy_share=0.01)
-    assert "_slice" in plan_of(sliced) or "filings-" in plan_of(sliced)
-    assert rows_of(sliced) == rows_of(plain)
-
-
-def test_sliced_numbering_splits_the_hot_flight(spark, skewed):
-    heavy = dedup._heavy_flights(skewed, FLIGHT_KEY, 0.01, 200)
-    assert 1 <= len(heavy) <= 3
-    assert dedup._heavy_flights(skewed, FLIGHT_KEY, 0.9, 200) == []
+@pytest.mark.parametrize("slices", [1, 3, 40])
+def test_numbering_in_slices_equals_the_plain_window(skewed, slices):
+    order = dedup.filing_order(skewed)
+    plain = dedup._number(skewed, FLIGHT_KEY, order).withColumn("row_num", F.col("row_num").cast("bigint"))
+    assert rows_of(dedup.numbered_filings(skewed, slices=slices)) == rows_of(plain)
+
+
+def test_a_flight_with_half_of_the_rows_is_cut_over_tasks(spark, monkeypatch):
+    hot = spark.range(20_000).select(
+        F.lit(None).cast("date").alias("FlightDate"),
+        F.lit("AA").alias("Reporting_Airline"),
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id")).cast("int").alias("Flight_Number_Reporting_Airline"),
+        F.lit("N01").alias("Origin"),
+        F.lit("N02").alias("Dest"),
+        F.timestamp_seconds(F.col("id")).alias("load_timestamp"),
+    )
+    stored, keep = {}, dedup._kept_apart
+    monkeypatch.setattr(dedup, "_kept_apart", lambda df, name: stored.setdefault(name, keep(df, name)))
+    numbered = dedup.numbered_filings(hot, slices=10)
+    assert numbered.agg(F.max("row_num"), F.count("*")).first() == (10_001, 20_000)
+    sizes = [r["count"] for r in stored["slices"].groupBy("_slice").count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * 20_000 / 10
+    assert dedup._slice_offsets(stored["slices"], FLIGHT_KEY).count() <= 2 * 10
 
 
 def test_copies_are_expanded_in_chunks(skewed, monkeypatch):
     expected = rows_of(dedup.numbered_filings(skewed))
     monkeypatch.setattr(dedup, "_COPY_CHUNK", 7)
-    assert rows_of(dedup.numbered_filings(skewed, heavy_rows=200, heavy_share=0.01)) == expected
+    assert rows_of(dedup.numbered_filings(skewed)) == expected
 
 
 def test_hot_flight_is_cut_down_before_the_shuffle(skewed):
