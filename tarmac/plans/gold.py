@@ -14,8 +14,6 @@ from tarmac.operators.airports import departing_from
 from tarmac.operators.ranking import with_dense_rank
 from tarmac.plans.silver import on_time_columns, route_columns
 
-SKETCH_ACCURACY = 10_000
-
 # All that the Gold tables read of Silver: what to keep when Silver is cached for them.
 SILVER_COLUMNS = [
     *AIRLINE_MONTH, "origin_code", "destination_code",
@@ -75,13 +73,26 @@ def base_counts() -> list[Column]:
     ]
 
 
-def delay_measures(accuracy: int = SKETCH_ACCURACY) -> list[Column]:
+def percentile(value: str, share: float, accuracy: int | None = None) -> Column:
+    """The smallest value of a SQL expression that at least ``share`` of the values
+    do not exceed.
+
+    Exact by default: Spark counts every distinct value, and delays are whole
+    minutes, so a group's state stays small however many flights it has. With an
+    ``accuracy`` a sketch of that size is used instead, for values of any kind.
+    """
+    if accuracy is not None:
+        return F.percentile_approx(F.expr(value), share, accuracy)
+    return F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY {value})")
+
+
+def delay_measures(accuracy: int | None = None) -> list[Column]:
     """Measures of flights that were not cancelled; all NULL where none was."""
     minutes = _flown("ArrDelayMinutes")
     return [
         F.nullif(_ones(_operated()), F.lit(0)).alias("non_cancelled_flights"),
         F.avg(minutes).alias("avg_arrival_delay_minutes"),
-        F.percentile_approx(minutes, 0.5, accuracy).alias("median_arrival_delay_minutes"),
+        percentile("CASE WHEN NOT is_cancelled THEN ArrDelayMinutes END", 0.5, accuracy).alias("median_arrival_delay_minutes"),
     ]
 
 
@@ -121,7 +132,7 @@ def airline_month(silver: DataFrame, measures: list[Column]) -> DataFrame:
     return silver.groupBy(*AIRLINE_MONTH).agg(*measures)
 
 
-def airline_delay_stats(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def airline_delay_stats(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Airline-months with flights that were not cancelled."""
     return airline_month(silver.filter(_operated()), delay_measures(accuracy))
 
@@ -129,7 +140,7 @@ def airline_delay_stats(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> D
 # --- airline-month: table -----------------------------------------------------
 
 
-def gold_airline_kpi(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def gold_airline_kpi(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Every airline-month measure from one scan and one shuffle, and the rank of
     the airline by flights within the month."""
     measures = [
@@ -152,7 +163,7 @@ def airline_monthly_rank(silver: DataFrame) -> DataFrame:
     return _ranked(airline_month(silver, base_counts()[:1]))
 
 
-def gold_airline_kpi_joined(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def gold_airline_kpi_joined(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
     """The same table as six aggregates joined on their keys; a cross-check.
 
     Reads Silver six times: hand it a stored table. An airline-month without a

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.rates import percent, percent_of
 from tarmac.model import CAUSE_MONTH
-from tarmac.plans.gold import SKETCH_ACCURACY
+from tarmac.plans.gold import percentile
 
 CAUSES = {
     "Carrier": "CarrierDelay",
@@ -71,10 +71,10 @@ def delay_cause_mix(silver: DataFrame) -> DataFrame:
     return _per_airline_month(silver, total.alias("caused_delay_minutes"), *shares)
 
 
-def p95_arrival_delay(silver: DataFrame, accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+def p95_arrival_delay(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
     """95th percentile of the signed arrival delay."""
     return _per_airline_month(
-        silver, F.percentile_approx("ArrDelay", 0.95, accuracy).alias("p95_arrival_delay")
+        silver, percentile("ArrDelay", 0.95, accuracy).alias("p95_arrival_delay")
     )
 
 

@@ -19,6 +19,7 @@ from tarmac.functions import (
 )
 from tarmac.operators.airports import with_both_airports
 from tarmac.operators.dedup import LOAD_TIME, latest_filing
+from tarmac.sources.raw import SOURCE_FILE
 
 
 def clock_columns() -> dict[str, Column]:
@@ -60,7 +61,7 @@ def date_columns() -> dict[str, Column]:
         "flight_year": F.year(day),
         "flight_month": F.month(day),
         "flight_quarter": F.quarter(day),
-        "flight_day_of_week": F.dayofweek(day),
+        "day_of_week": F.dayofweek(day),
     }
 
 
@@ -92,8 +93,8 @@ def departure_on_time_columns() -> dict[str, Column]:
 
 
 def with_load_time(df: DataFrame) -> DataFrame:
-    """The time of this load, for rows that carry none. Called at ingest: the time
-    is one constant per query, so it tells loads apart only once it is stored."""
+    """The time of this load, for rows that carry none, such as rows that come from
+    no file. The jobs store the delivery time of each file instead."""
     if LOAD_TIME in df.columns:
         return df
     return df.withColumn(LOAD_TIME, F.current_timestamp())
@@ -125,6 +126,6 @@ def silver_flights(
     bronze: DataFrame, airports: DataFrame, tie_break: Sequence[str] | None = None
 ) -> DataFrame:
     """The Silver table. Deduplication comes first: it shuffles, and the features
-    need not travel with the rows."""
-    kept = latest_filing(with_load_time(bronze), tie_break=tie_break)
+    need not travel with the rows. The file a row came from ends with Bronze."""
+    kept = latest_filing(with_load_time(bronze.drop(SOURCE_FILE)), tie_break=tie_break)
     return enriched(with_features(kept), airports)

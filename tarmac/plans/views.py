@@ -30,14 +30,13 @@ VIEWS = {
                CASE WHEN flight_month IN (12, 1, 2) THEN 'Winter'
                     WHEN flight_month <= 5 THEN 'Spring'
                     WHEN flight_month <= 8 THEN 'Summer'
-                    ELSE 'Autumn' END AS season,
+                    WHEN flight_month <= 11 THEN 'Autumn' END AS season,
                count(*) AS total_flights,
                round(avg(CASE WHEN NOT is_cancelled THEN ArrDelayMinutes END), 2)
                  AS avg_arrival_delay,
                round(count_if(NOT is_cancelled AND NOT is_arrival_delayed) / count(*) * 100, 2)
                  AS on_time_percentage
         FROM {silver}
-        WHERE flight_month IS NOT NULL
         GROUP BY flight_year, flight_month, flight_quarter
     """,
     "vw_airport_performance_map": """

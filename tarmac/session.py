@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
+import shutil
 import tempfile
 import uuid
 
@@ -41,7 +43,10 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, memory: s
 
 @functools.cache
 def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="tarmac-")
+    """A folder that goes when the process ends."""
+    folder = tempfile.mkdtemp(prefix="tarmac-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -59,6 +64,18 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder(context.applicationId)
 
 
+_handed_out: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _handed_out.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this process put in the shared folder; nothing may read it any more."""
+    while _handed_out:
+        target = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -1,15 +1,37 @@
-"""The same queries in DuckDB SQL over the same tables, written independently."""
+"""The same queries in DuckDB SQL over the same tables, with expressions and lists of its own."""
 
 from __future__ import annotations
 
-from tarmac.model import (
-    EXPECTED_FLAG_PCT,
-    FLIGHT_COLUMNS,
-    FLIGHT_KEY,
-    NULL_FLAGS,
-    NULL_PROFILE_COLUMNS,
-    STATUS_FLAGS,
-)
+# Fixed values, stated again so that the oracle does not lean on the code it checks.
+FLIGHT_COLUMNS = (
+    "FlightDate Reporting_Airline IATA_CODE_Reporting_Airline Tail_Number Flight_Number_Reporting_Airline "
+    "Origin OriginCityName OriginState Dest DestCityName DestState CRSDepTime DepTime DepDelay "
+    "DepDelayMinutes DepDel15 DepartureDelayGroups CRSArrTime ArrTime ArrDelay ArrDelayMinutes ArrDel15 "
+    "ArrivalDelayGroups Cancelled CancellationCode Diverted CRSElapsedTime ActualElapsedTime AirTime "
+    "Flights Distance DistanceGroup CarrierDelay WeatherDelay NASDelay SecurityDelay LateAircraftDelay"
+).split()
+FLIGHT_KEY = "FlightDate Reporting_Airline Flight_Number_Reporting_Airline Origin Dest".split()
+NULL_FLAGS = {
+    "flight_date_null": "FlightDate",
+    "reporting_airline_null": "Reporting_Airline",
+    "origin_null": "Origin",
+    "destination_null": "Dest",
+    "distance_null": "Distance",
+    "arrival_delay_null": "ArrDelay",
+    "departure_delay_null": "DepDelay",
+    "cancelled_null": "Cancelled",
+}
+STATUS_FLAGS = [name for name in NULL_FLAGS if name != "cancelled_null"]
+NULL_PROFILE_COLUMNS = "Origin Cancelled Distance ArrDelay DepDelay Reporting_Airline".split()
+EXPECTED_FLAG_PCT = {
+    "flight_date_null": 0.001,
+    "reporting_airline_null": 0.001,
+    "origin_null": 0.001,
+    "destination_null": 0.001,
+    "departure_delay_range_flag": 0.1,
+    "check_distance_range": 0.01,
+    "same_origin_destination": 0.001,
+}
 
 
 def _r(value: str, places: int = 2) -> str:
@@ -176,7 +198,7 @@ _DATES = {
     "flight_year": "cast(year(FlightDate) AS integer)",
     "flight_month": "cast(month(FlightDate) AS integer)",
     "flight_quarter": "cast(quarter(FlightDate) AS integer)",
-    "flight_day_of_week": "cast(dayofweek(FlightDate) + 1 AS integer)",
+    "day_of_week": "cast(dayofweek(FlightDate) + 1 AS integer)",
 }
 _CODES = {
     "airline_code": "upper(IATA_CODE_Reporting_Airline)",
@@ -411,6 +433,49 @@ _RATES = " UNION ALL ".join(
 _MONTH = "cast(year(FlightDate) AS integer) AS year, cast(month(FlightDate) AS integer) AS month"
 _BRONZE_COLUMNS = _PRINTED_FLIGHT + ", " + _cols(_FLAGS)
 
+_COUNTS = ["total_number_of_flights", "delayed_flights", "total_flights_cancelled", "diverted_flights"]
+_AIRLINE_NUMBERS = [
+    *_COUNTS, "non_cancelled_flights", "avg_arrival_delay_minutes", "median_arrival_delay_minutes",
+    "on_time_flights", "on_time_flight_percentage", "cancelled_flights", "cancelled_flight_percentage",
+    "avg_carrier_delay", "avg_weather_delay", "avg_security_delay", "avg_late_aircraft_delay",
+    "avg_distance_travelled", "total_distance_travelled", "monthly_rank",
+]
+_ROUTE_NUMBERS = [
+    "number_of_flights", "avg_arrival_delay", "avg_distance_travelled", "total_delayed_flights",
+    "total_on_time_flights", "number_of_airlines_on_route", "on_time_percentage_airline_percentage",
+]
+_DEPARTURE_NUMBERS = [
+    "origin_lon", "origin_lat", "total_departure", "total_cancelled_departure",
+    "avg_departure_delay_minutes", "avg_route_distance", "number_of_flights_operating",
+    "avg_airtime", "departure_on_time_percentage",
+]
+_CAUSE_NUMBERS = [
+    "total_minutes_delayed",
+    *(f"total_{c}_delayed_minutes" for c in ("weather", "carrier", "security", "late_aircraft")),
+    *(f"{c}_delay_percentage" for c in ("weather", "carrier", "security", "late_aircraft")),
+]
+# Gold tables as (name, key, numbers, query).
+_GOLD = [
+    ("gold_airline_kpi", _GROUP, _AIRLINE_NUMBERS, f"SELECT *, {_RANK} FROM ({_airline(_ALL_MEASURES)})"),
+    ("gold_route_kpi", "flight_year, route, origin_code, destination_code", _ROUTE_NUMBERS, _ROUTE),
+    (
+        "gold_airport_departure_kpi",
+        """flight_year, flight_month, origin_code, origin_airport_name, origin_airport_city,
+        origin_airport_state""",
+        _DEPARTURE_NUMBERS,
+        _DEPARTURES,
+    ),
+    ("delay_cause_table", _CAUSE_GROUP, _CAUSE_NUMBERS, _CAUSE_TABLE),
+]
+
+
+def _unpivoted(name: str, keys: str, numbers: list[str], select: str) -> str:
+    values = ", ".join(f"cast({n} AS double) AS {n}" for n in numbers)
+    return f"""SELECT '{name}' AS table_name, row_key, measure, value
+    FROM (SELECT concat_ws('|', {keys}) AS row_key, {values} FROM ({select})) wide
+    UNPIVOT INCLUDE NULLS (value FOR measure IN ({_cols(numbers)}))"""
+
+
 _ORACLES = {
     # sources and sinks
     "scan_csv_bronze": _flights(
@@ -431,7 +496,7 @@ _ORACLES = {
     "bronze_partitioned_roundtrip": _bronze(
         f"SELECT {_BRONZE_COLUMNS}, corrupt_record, {_LOADED}, year, month FROM bronze"
     ),
-    "silver_partitioned_roundtrip": _featured(
+    "silver_month_pruning": _featured(
         """SELECT year, month, airline_code, count(*) AS flights, sum(Distance) AS distance
         FROM featured WHERE FlightDate >= DATE '1996-11-01' AND FlightDate < DATE '1997-02-01'
         GROUP BY ALL"""
@@ -448,11 +513,20 @@ _ORACLES = {
     "incremental_batch_rerun": _flights(
         f"SELECT {_MONTH}, count(*) AS flights, sum(DepDelay) AS departure_delay FROM flights GROUP BY ALL"
     ),
+    "incremental_late_file": _flights(
+        f"""SELECT {_MONTH}, count(*) AS flights, count(*) FILTER (l_orderkey % 50 = 0) AS bad_dates,
+        count(*) FILTER (l_orderkey % 50 = 0) AS corrupt_rows FROM flights GROUP BY ALL"""
+    ),
+    "refiled_latest_wins": _flights(
+        f"""SELECT {_MONTH}, count(*) AS flights, count(*) FILTER (again) AS refiled
+        FROM (SELECT {_cols(FLIGHT_KEY)}, bool_or(l_linenumber = 1) AS again FROM flights
+              GROUP BY {_cols(FLIGHT_KEY)})
+        GROUP BY ALL"""
+    ),
     "gold_saved_tables": _silver(
-        f"""SELECT 'gold_airline_kpi' AS table_name, count(*) AS row_count FROM ({_airline(_TOTAL)})
-        UNION ALL SELECT 'gold_route_kpi', count(*) FROM ({_ROUTE})
-        UNION ALL SELECT 'gold_airport_departure_kpi', count(*) FROM ({_DEPARTURES})
-        UNION ALL SELECT 'delay_cause_table', count(*) FROM causes""",
+        " UNION ALL ".join(
+            _unpivoted(name, keys, measures, select) for name, keys, measures, select in _GOLD
+        ),
         _ROUTED,
         _CAUSE,
     ),
@@ -678,6 +752,7 @@ _ORACLES = {
     ),
 }
 _ORACLES["silver_cached_multi_gold"] = _ORACLES["gold_saved_tables"]
+_ORACLES["silver_partitioned_roundtrip"] = _ORACLES["silver_flights"]
 
 
 def oracle_sql() -> dict[str, str]:

@@ -6,6 +6,7 @@ alike; everything else is returned as it is.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -162,7 +163,15 @@ def bronze_partitioned_roundtrip(spark, sf):
 
 @query
 def silver_partitioned_roundtrip(spark, sf):
-    """A quarter of the written Silver table, read by partition."""
+    """The whole Silver table as written by month and read back."""
+    path = scratch_path(spark, "silver")
+    tables.write_partitioned(silver_table(spark, sf), path)
+    return _printable_silver(tables.read_table(spark, path))
+
+
+@query
+def silver_month_pruning(spark, sf):
+    """Three months of the written Silver table, read by partition."""
     path = scratch_path(spark, "silver")
     tables.write_partitioned(silver_table(spark, sf), path)
     part = tables.read_months(spark, path, (1996, 11), (1997, 1))
@@ -195,21 +204,63 @@ def ingest_missing_months(spark, sf):
 
 @query
 def incremental_batch_rerun(spark, sf):
-    """Months up to 1996 loaded, then everything, then everything again: the
-    months already there are skipped, and the table ends with each row once."""
-    path = scratch_path(spark, "bronze-incremental")
-    batch = bronze_table(spark, sf).select(*FLIGHT_KEY, "DepDelay", "year", "month")
-    tables.write_partitioned(batch.filter("year <= 1996"), path)
+    """Years up to 1996 delivered and loaded, then the others, then a run with nothing new."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "bronze-incremental")
+    rows = flights(spark, sf, *FLIGHT_COLUMNS)
+    early = F.year("FlightDate") <= 1996
+    raw.write_landing(rows.filter(early), landing)
+    jobs.load_bronze(spark, landing, path)
+    raw.write_landing(rows.filter(~early), landing, mode="append")
     for _ in range(2):
-        loaded = completeness.held_months(tables.read_table(spark, path))
-        tables.write_partitioned(
-            completeness.not_yet_loaded(batch, loaded), path, replace="partitions"
-        )
+        jobs.extend_bronze(spark, landing, path)
     return tables.read_table(spark, path).groupBy("year", "month").agg(
         F.count("*").alias("flights"), F.sum("DepDelay").alias("departure_delay")
     )
 
 
+@query
+def incremental_late_file(spark, sf):
+    """Every month delivered in two files, some lines of each with a bad date; loaded after
+    each delivery and once more. Rows and bad dates per landing folder."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "bronze-late")
+    bad = F.col("l_orderkey") % 50 == 0
+    rows = flights(spark, sf, *FLIGHT_COLUMNS, *SOURCE_KEY).withColumns(
+        {
+            "_day": F.col("FlightDate"),
+            "FlightDate": F.when(bad, "soon").otherwise(F.col("FlightDate").cast("string")),
+        }
+    )
+    first = F.col("l_linenumber") <= 3
+    raw.write_landing(rows.filter(first), landing, day="_day")
+    jobs.load_bronze(spark, landing, path)
+    raw.write_landing(rows.filter(~first), landing, day="_day", mode="append")
+    for _ in range(2):
+        jobs.extend_bronze(spark, landing, path)
+    return tables.read_table(spark, path).groupBy("year", "month").agg(
+        F.count("*").alias("flights"),
+        F.count_if(F.col("FlightDate").isNull()).alias("bad_dates"),
+        F.count("corrupt_record").alias("corrupt_rows"),
+    )
+
+
+@query
+def refiled_latest_wins(spark, sf):
+    """Flights delivered, then those of line 1 filed again in a later file: per month the flights
+    kept, and those kept from the later file. By content the earlier filing would win."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "bronze-refiled")
+    rows = flights(spark, sf, *FLIGHT_COLUMNS, "l_linenumber")
+    raw.write_landing(rows, landing)
+    jobs.load_bronze(spark, landing, path)
+    again = rows.filter("l_linenumber = 1").withColumn("Tail_Number", F.lit("REFILED"))
+    raw.write_landing(again, landing, mode="append")
+    jobs.extend_bronze(spark, landing, path)
+    kept = dedup.latest_filing(tables.read_table(spark, path))
+    return kept.groupBy("year", "month").agg(
+        F.count("*").alias("flights"),
+        F.count_if(F.col("Tail_Number") == "REFILED").alias("refiled"),
+    )
+
+
 # --- catalog ------------------------------------------------------------------
 
 
@@ -244,16 +295,40 @@ def sql_row_count(spark, sf):
 
 @query
 def gold_saved_tables(spark, sf):
-    """Rows of the four Gold tables as saved in a database."""
+    """The four Gold tables as saved in a database, a row per key and measure."""
     database = _new_database(spark)
-    counts = None
-    for name, table in _gold_tables(spark, sf, _stored_silver(spark, sf)).items():
-        saved = catalog.save_managed(table, database, name)
-        line = spark.table(saved).agg(
-            F.lit(name).alias("table_name"), F.count("*").alias("row_count")
+    saved = {
+        name: spark.table(catalog.save_managed(table, database, name))
+        for name, table in _gold_tables(spark, sf, _stored_silver(spark, sf)).items()
+    }
+    return _measures(saved)
+
+
+# What tells the rows of a Gold table apart; its other columns are numbers.
+_GOLD_KEYS = {
+    "gold_airline_kpi": ["flight_year", "flight_month", "airline_code", "Reporting_Airline"],
+    "gold_route_kpi": ["flight_year", "route", "origin_code", "destination_code"],
+    "gold_airport_departure_kpi": [
+        "flight_year", "flight_month", "origin_code", "origin_airport_name", "origin_airport_city",
+        "origin_airport_state",
+    ],
+    "delay_cause_table": ["flight_year", "flight_month", "airline_code"],
+}
+
+
+def _measures(gold_tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, row_key, measure, value) of all the tables."""
+    lines = []
+    for name, table in gold_tables.items():
+        key = F.concat_ws("|", *(F.col(c).cast("string") for c in _GOLD_KEYS[name]))
+        numbers = [c for c in table.columns if c not in _GOLD_KEYS[name]]
+        wide = table.select(
+            F.lit(name).alias("table_name"),
+            key.alias("row_key"),
+            *(F.col(c).cast("double") for c in numbers),
         )
-        counts = line if counts is None else counts.unionAll(line)
-    return counts
+        lines.append(wide.unpivot(["table_name", "row_key"], numbers, "measure", "value"))
+    return functools.reduce(DataFrame.unionAll, lines)
 
 
 def _stored_silver(spark, sf) -> DataFrame:
@@ -270,16 +345,14 @@ def silver_cached_multi_gold(spark, sf):
     """The four Gold tables from one cached Silver, released once they are written."""
     table = silver_table(spark, sf).select(*gold.SILVER_COLUMNS)
     table = table.persist(StorageLevel.MEMORY_AND_DISK)
-    counts = None
     try:
-        for name, result in _gold_tables(spark, sf, table).items():
-            line = stored(spark, result, name).agg(
-                F.lit(name).alias("table_name"), F.count("*").alias("row_count")
-            )
-            counts = line if counts is None else counts.unionAll(line)
+        results = {
+            name: stored(spark, result, name)
+            for name, result in _gold_tables(spark, sf, table).items()
+        }
     finally:
         table.unpersist()
-    return counts
+    return _measures(results)
 
 
 @query
@@ -291,8 +364,8 @@ def gold_parquet_roundtrip(spark, sf):
 
 @query
 def export_readback_diff(spark, sf):
-    """The exported table against its source."""
-    source = gold.gold_delay_cause(silver_features(spark, sf))
+    """The exported table against its source, which is computed once."""
+    source = stored(spark, gold.gold_delay_cause(silver_features(spark, sf)), "source")
     path = scratch_path(spark, "delay-cause")
     tables.export_parquet(source, path)
     return tables.difference_counts(source, spark.read.parquet(path), "delay_cause_table")
@@ -600,7 +673,10 @@ def haversine_vs_reported(spark, sf):
 
 @query
 def silver_flights(spark, sf):
-    table = silver_table(spark, sf)
+    return _printable_silver(silver_table(spark, sf))
+
+
+def _printable_silver(table: DataFrame) -> DataFrame:
     rounded = F.round("haversine_distance_km", 3)
     return printable(table.withColumn("haversine_distance_km", rounded))
 

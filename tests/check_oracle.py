@@ -13,7 +13,10 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
 
-TABLES = "region nation customer supplier part orders lineitem".split()
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark "
+    "labels conversations"
+).split()
 TYPES = {
     "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double",
     "BOOLEAN": "boolean", "DATE": "date",
@@ -65,7 +68,7 @@ def main() -> int:
     connection = connect(sf_dir)
     queries, oracles = entry.queries(), entry.oracle_sql()
     failed = sorted(set(oracles) - set(queries))
-    for name in sys.argv[2:] or queries:
+    for name in sys.argv[2:] or oracles:
         start = time.time()
         try:
             problem = compare(queries[name](spark, sf_dir), connection, oracles[name])

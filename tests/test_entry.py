@@ -7,9 +7,10 @@ from check_oracle import compare, connect
 from conftest import SF
 
 import __spark_entry__ as entry
+from tarmac.workload import oracle, queries as registered
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
+QUERIES = registered.queries()
+ORACLES = oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -19,7 +20,15 @@ def connection():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
-    assert len(QUERIES) == 83
+    assert len(QUERIES) == 86
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_entry_without_the_training_data_part(monkeypatch):
+    monkeypatch.setattr(entry, "_llm", lambda: None)
+    assert set(entry.queries()) == set(QUERIES)
+    assert set(entry.oracle_sql()) == set(ORACLES)
 
 
 def test_entry(spark):
