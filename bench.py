@@ -26,6 +26,8 @@ HEADLINE = [
     "feat_haversine",
     "silver_flights",
     "bronze_partitioned_roundtrip",
+    "incremental_batch_rerun",
+    "incremental_late_file",
     "cancelled_by_year_month",
     "gold_airline_kpi",
     "gold_route_kpi",

@@ -27,6 +27,7 @@ def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colu
     return 2 * EARTH_RADIUS_KM * F.asin(F.sqrt(h))
 
 
+# The name of this helper, of its parameters and of its result.
 def add_haversine_distance(
     df: DataFrame,
     lat1_col: str = "origin_lat",

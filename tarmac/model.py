@@ -135,7 +135,7 @@ EXPECTED_FLAG_PCT = {
 
 # --- fixed values: labels -----------------------------------------------------
 
-# (label, lowest minute, highest minute), both inclusive; None is open.
+# (label, lowest minute, highest minute), both inclusive.
 DELAY_BANDS = [
     ("On Time", 0, 14),
     ("Minor Delay", 15, 44),
@@ -162,3 +162,35 @@ DEPARTURE_MONTH = [
     "origin_lon", "origin_lat",
 ]
 CAUSE_MONTH = ["flight_year", "flight_month", "airline_code"]
+
+# --- fixed values: columns of the Gold tables, in table order -------------------
+
+GOLD_COLUMNS = {
+    "gold_airline_kpi": [
+        "flight_year", "flight_month", "airline_code", "Reporting_Airline",
+        "total_number_of_flights", "delayed_flights", "total_flights_cancelled", "diverted_flights",
+        "non_cancelled_flights", "avg_arrival_delay_minutes", "median_arrival_delay_minutes",
+        "on_time_flights", "on_time_flight_percentage",
+        "cancelled_flights", "cancelled_flight_percentage",
+        "avg_carrier_delay", "avg_weather_delay", "avg_security_delay", "avg_late_aircraft_delay",
+        "avg_distance_travelled", "total_distance_travelled", "monthly_rank",
+    ],
+    "gold_route_kpi": [
+        "flight_year", "route", "origin_code", "destination_code",
+        "number_of_flights", "avg_arrival_delay", "avg_distance_travelled", "total_delayed_flights",
+        "total_on_time_flights", "number_of_airlines_on_route", "on_time_percentage_airline_percentage",
+    ],
+    "gold_airport_departure_kpi": [
+        "flight_year", "flight_month", "origin_code", "origin_airport_name", "origin_airport_city",
+        "origin_airport_state", "origin_lon", "origin_lat",
+        "total_departure", "total_cancelled_departure", "avg_departure_delay_minutes",
+        "avg_route_distance", "number_of_flights_operating", "avg_airtime", "departure_on_time_percentage",
+    ],
+    "delay_cause_table": [
+        "flight_year", "flight_month", "airline_code",
+        "total_minutes_delayed", "total_weather_delayed_minutes", "total_carrier_delayed_minutes",
+        "total_security_delayed_minutes", "total_late_aircraft_delayed_minutes",
+        "weather_delay_percentage", "carrier_delay_percentage", "security_delay_percentage",
+        "late_aircraft_delay_percentage",
+    ],
+}

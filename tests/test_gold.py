@@ -1,15 +1,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 
 import pytest
-from conftest import rows_of
+from conftest import SF, rows_of
 from pyspark.sql import functions as F
 
-from tarmac.model import AIRLINE_MONTH
+from tarmac.model import AIRLINE_MONTH, GOLD_COLUMNS
 from tarmac.operators.airports import with_both_airports
 from tarmac.plans import gold, kpis, views
 from tarmac.plans.silver import departure_on_time_columns, on_time_columns, route_columns, with_features
+from tarmac.workload import queries as registered
 
 GONE = {
     "Cancelled": 1.0, "DepDelay": None, "DepDelayMinutes": None, "DepDel15": None, "ArrDelay": None,
@@ -168,3 +170,44 @@ def test_row_flags(silver):
     assert got == {(False, False, 1), (False, True, 0), (True, False, 0)}
     only = df.withColumn("origin_code", F.lit(None).cast("string")).withColumns(route_columns())
     assert only.first().route == "N02"
+
+
+# Written out, not imported: what readers of the stored tables rely on.
+SILVER_COLUMNS = (
+    "FlightDate Reporting_Airline IATA_CODE_Reporting_Airline Tail_Number Flight_Number_Reporting_Airline Origin "
+    "OriginCityName OriginState Dest DestCityName DestState CRSDepTime DepTime DepDelay DepDelayMinutes DepDel15 "
+    "DepartureDelayGroups CRSArrTime ArrTime ArrDelay ArrDelayMinutes ArrDel15 ArrivalDelayGroups Cancelled "
+    "CancellationCode Diverted CRSElapsedTime ActualElapsedTime AirTime Flights Distance DistanceGroup CarrierDelay "
+    "WeatherDelay NASDelay SecurityDelay LateAircraftDelay flight_date_null reporting_airline_null origin_null "
+    "destination_null distance_null arrival_delay_null departure_delay_null cancelled_null "
+    "departure_delay_range_flag same_origin_destination check_distance_range corrupt_record load_timestamp year "
+    "month crs_dep_time_std crs_arr_time_std crs_dep_minutes crs_arr_minutes is_cancelled is_diverted "
+    "is_departure_delayed is_arrival_delayed arrival_delay_category flight_year flight_month flight_quarter "
+    "day_of_week airline_code origin_code destination_code cancellation_reason origin_airport_name "
+    "origin_airport_city origin_airport_state origin_lat origin_lon origin_timezone dest_airport_name "
+    "dest_airport_city dest_airport_state dest_lat dest_lon dest_timezone flight_num_extract haversine_distance_km"
+).split()
+
+
+def test_stored_tables_have_their_columns(spark):
+    silver = registered.silver_table(spark, SF)
+    assert len(SILVER_COLUMNS) == 83 and sorted(silver.columns) == sorted(SILVER_COLUMNS)
+    for name, table in registered._gold_tables(spark, SF, silver).items():
+        assert table.columns == GOLD_COLUMNS[name]
+
+
+@pytest.mark.parametrize("accuracy", [None, 100])
+def test_percentiles_of_large_groups_are_exact_unless_sketched(spark, accuracy):
+    rows = spark.range(60_000).select((F.col("id") * 7919 % 50_021).cast("double").alias("x"))
+    values = sorted(r.x for r in rows.collect())
+    for share in (0.5, 0.95):
+        got = rows.agg(gold.percentile("x", share, accuracy).alias("p")).first().p
+        exact = values[math.ceil(share * len(values)) - 1]
+        assert got == exact if accuracy is None else abs(got - exact) < 1500
+
+
+def test_flights_without_a_date_stay_in_the_trend(spark, make_flights):
+    silver = with_features(make_flights({"FlightDate": None}, {"FlightDate": dt.date(2021, 11, 3)}, {}))
+    trend = views.reporting_view(spark, "vw_delay_trend_monthly", silver)
+    got = {(r.flight_month, r.season, r.total_flights) for r in trend.collect()}
+    assert got == {(None, None, 1), (11, "Autumn", 1), (3, "Spring", 1)}
