@@ -42,7 +42,7 @@ BLOCK_WORDS = 600_000
 _STRIDE = 1 << 16
 
 SCAN_SCHEMA = "id bigint, n_words bigint, sequence binary, anchors array<bigint>"
-WINDOW_SCHEMA = "hash bigint, id bigint, pos bigint"
+WINDOW_SCHEMA = "hash bigint, id bigint, pos bigint, is_first boolean"
 PASSAGE_SCHEMA = "head bigint, first_id bigint, n_words bigint, passage binary"
 REMOVED_SCHEMA = (
     "id bigint, n_removed bigint, kept_sha256 string, removed array<struct<start:bigint,stop:bigint>>"
@@ -87,8 +87,31 @@ def _scan(window: int, anchor: int):
     return run
 
 
+def _gathered(parts: Iterator[tuple], names: list[str], rows: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Record batches of about ``rows`` rows from parts, each a tuple of columns."""
+    held, size = [], 0
+    for part in parts:
+        held.append(part)
+        size += len(part[0])
+        if size >= rows:
+            yield _joined(held, names)
+            held, size = [], 0
+    if held:
+        yield _joined(held, names)
+
+
+def _joined(parts: list[tuple], names: list[str]) -> pa.RecordBatch:
+    columns = []
+    for column in zip(*parts, strict=True):
+        if isinstance(column[0], list):
+            columns.append(pa.array([x for c in column for x in c], pa.binary()))
+        else:
+            columns.append(pa.array(np.concatenate(column)))
+    return pa.record_batch(columns, names=names)
+
+
 def _candidate_windows(window: int, anchor: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for i in range(batch.num_rows):
                 hashes = word_hashes(batch["text"][i].as_py())[0]
@@ -96,20 +119,17 @@ def _candidate_windows(window: int, anchor: int):
                 places = anchor_places(grams, window - anchor + 1)
                 recurring = batch["anchors"][i].values.to_numpy().view(np.uint64)
                 pos = np.flatnonzero(np.isin(grams[places], recurring))
-                yield pa.record_batch(
-                    [
-                        pa.array(windows(hashes, window)[pos].view(np.int64)),
-                        pa.array(np.full(len(pos), batch["id"][i].as_py(), dtype=np.int64)),
-                        pa.array(pos.astype(np.int64)),
-                    ],
-                    names=["hash", "id", "pos"],
-                )
+                ids = np.full(len(pos), batch["id"][i].as_py(), dtype=np.int64)
+                found = windows(hashes, window)[pos].view(np.int64)
+                is_first = np.zeros(len(pos), dtype=bool)
+                is_first[np.unique(found, return_index=True)[1]] = True
+                yield found, ids, pos.astype(np.int64), is_first
 
-    return run
+    return lambda batches: _gathered(parts(batches), ["hash", "id", "pos", "is_first"])
 
 
 def _passages(window: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
             for i in range(batch.num_rows):
                 own = batch["own"][i].values
@@ -127,17 +147,15 @@ def _passages(window: int):
                 stops = np.flatnonzero(is_own & ~np.concatenate([joined, [False]])) + window
                 words, heads = data.split(), hashes[starts]
                 _, first = np.unique(heads, return_index=True)  # a passage may recur within its document
-                yield pa.record_batch(
-                    [
-                        pa.array(heads[first]),
-                        pa.array(np.full(len(first), batch["first_id"][i].as_py(), dtype=np.int64)),
-                        pa.array((stops - starts)[first].astype(np.int64)),
-                        pa.array([b" ".join(words[starts[k] : stops[k]]) for k in first], pa.binary()),
-                    ],
-                    names=["head", "first_id", "n_words", "passage"],
+                yield (
+                    heads[first],
+                    np.full(len(first), batch["first_id"][i].as_py(), dtype=np.int64),
+                    (stops - starts)[first].astype(np.int64),
+                    [b" ".join(words[starts[k] : stops[k]]) for k in first],
                 )
 
-    return run
+    names = ["head", "first_id", "n_words", "passage"]
+    return lambda batches: _gathered(parts(batches), names, rows=2048)
 
 
 class PassageAutomaton:
@@ -281,7 +299,9 @@ def repeated_passages(
 
     heads = passages.select("head", "first_id", "n_words")
     routes = stored(
-        candidates.join(heads, (F.col("hash") == F.col("head")) & (F.col("id") > F.col("first_id")))
+        # A window that a document repeats asks for its passage once.
+        candidates.filter("is_first")
+        .join(heads, (F.col("hash") == F.col("head")) & (F.col("id") > F.col("first_id")))
         .select("id", "head", "n_words")
         .distinct(),
         "phrases-routes",
