@@ -19,7 +19,6 @@ import json
 import mmap
 import os
 import re
-import tempfile
 import uuid
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -270,8 +269,8 @@ def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 # --- the lexicon automaton ----------------------------------------------------------
 
 
-def compile_lexicon(words: dict[bytes, np.ndarray], path: str) -> None:
-    """Write the minimal acyclic automaton of the words with their ids to ``path``.
+def compile_lexicon(words: dict[bytes, np.ndarray]) -> bytes:
+    """The minimal acyclic automaton of the words with their ids, as a file's content.
 
     Words are added in order; what can no longer change is replaced by an equal state that is there
     already. Each edge then gets the number of words that branch off before it.
@@ -324,10 +323,8 @@ def compile_lexicon(words: dict[bytes, np.ndarray], path: str) -> None:
         np.array(finals, np.uint8), offsets.astype(np.int32),
         np.concatenate([*ids, np.empty(0, np.int64)]).astype(np.int32),
     ]
-    with open(path, "wb") as out:
-        out.write(np.array([start, *map(len, parts)], np.int64).tobytes())
-        for part in parts:
-            out.write(part.tobytes())
+    head = np.array([start, *map(len, parts)], np.int64)
+    return b"".join(part.tobytes() for part in (head, *parts))
 
 
 class Lexicon:
@@ -607,9 +604,7 @@ def codec(spark: SparkSession, vocabulary_path: str, words: Iterable[str] = ())
     if not pieces:
         return Codec(spec_name, None)
     ordered = sorted(pieces)
-    with tempfile.NamedTemporaryFile() as local:
-        compile_lexicon(dict(zip(ordered, vocabulary.merge(ordered), strict=True)), local.name)
-        lexicon = open(local.name, "rb").read()
+    lexicon = compile_lexicon(dict(zip(ordered, vocabulary.merge(ordered), strict=True)))
     return Codec(spec_name, _distribute(spark, lexicon, f"lexicon-{tag}.bin"))
 
 

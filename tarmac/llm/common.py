@@ -72,8 +72,8 @@ def shards(rows: int, per_shard: int) -> int:
 
 
 def _narrow(ids: DataFrame, id_col: str) -> DataFrame:
-    ids = ids.select(F.col(id_col).alias("_id")).filter("_id is not null").distinct()
-    return F.broadcast(ids) if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else ids
+    ids = ids.select(F.col(id_col).alias("_id")).filter("_id is not null")
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
 
 
 def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -144,15 +144,18 @@ def contaminated(
     full = keep_ids(texts, met, "id").select(
         "id", template(F.col("text")).alias("template"), words(F.col("text")).alias("raw")
     )
-    seen = hits.join(full, "id").join(items, "item")
-    exact = seen.filter(
-        F.slice("template", F.col("at") + 1, F.col("size"))
-        == F.slice("item_template", F.col("pos") + 1, F.col("size"))
-    )
+    # Only the words of the windows go on to the items.
+    given = hits.join(full, "id").select(
+        "id", "item", "at", "pos", "size",
+        F.slice("template", F.col("at") + 1, F.col("size")).alias("given_template"),
+        F.slice("raw", F.col("at") + 1, F.col("size")).alias("given"),
+    )
+    asked = F.slice("item_template", F.col("pos") + 1, F.col("size"))
+    exact = given.join(items, "item").filter(F.col("given_template") == asked)
     values = F.arrays_zip(
-        F.slice("item_template", F.col("pos") + 1, F.col("size")).alias("token"),
+        asked.alias("token"),
         F.slice("item_raw", F.col("pos") + 1, F.col("size")).alias("asked"),
-        F.slice("raw", F.col("at") + 1, F.col("size")).alias("given"),
+        F.col("given").alias("given"),
     )
     aligned = stored(
         exact.select(

@@ -35,10 +35,10 @@ def odd_texts():
 
 
 def lexicon(vocabulary, tmp_path, words):
-    path = str(tmp_path / "lexicon.bin")
+    path = tmp_path / "lexicon.bin"
     ordered = sorted(words)
-    bpe.compile_lexicon(dict(zip(ordered, vocabulary.merge(ordered), strict=True)), path)
-    return bpe.Lexicon(path), ordered
+    path.write_bytes(bpe.compile_lexicon(dict(zip(ordered, vocabulary.merge(ordered), strict=True))))
+    return bpe.Lexicon(str(path)), ordered
 
 
 @pytest.mark.parametrize("with_lexicon", [False, True])
