@@ -41,7 +41,7 @@ def register_sql_functions(spark: SparkSession, python: bool = False) -> None:
     # A SQL function cannot replace a Python one, nor the other way round.
     spark.sql(f"DROP TEMPORARY FUNCTION IF EXISTS {SQL_NAME}")
     if python:
-        spark.udf.register(SQL_NAME, _extract, StringType())
+        spark.udf.register(SQL_NAME, F.udf(_extract, StringType(), useArrow=True))
         return
     picked = ", ".join(f"substring(number, {position}, 1)" for position in _POSITIONS)
     spark.sql(

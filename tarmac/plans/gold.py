@@ -29,7 +29,7 @@ def _all() -> Column:
     return F.count("*")
 
 
-def _operated() -> Column:
+def operated() -> Column:
     return ~F.col("is_cancelled")
 
 
@@ -40,7 +40,7 @@ def _ones(condition: Column) -> Column:
 
 def _flown(value: str) -> Column:
     """A column on flights that were not cancelled, else NULL."""
-    return F.when(_operated(), F.col(value))
+    return F.when(operated(), F.col(value))
 
 
 def _mean(value: Column | str) -> Column:
@@ -90,14 +90,14 @@ def delay_measures(accuracy: int | None = None) -> list[Column]:
     """Measures of flights that were not cancelled; all NULL where none was."""
     minutes = _flown("ArrDelayMinutes")
     return [
-        F.nullif(_ones(_operated()), F.lit(0)).alias("non_cancelled_flights"),
+        F.nullif(_ones(operated()), F.lit(0)).alias("non_cancelled_flights"),
         F.avg(minutes).alias("avg_arrival_delay_minutes"),
         percentile("CASE WHEN NOT is_cancelled THEN ArrDelayMinutes END", 0.5, accuracy).alias("median_arrival_delay_minutes"),
     ]
 
 
 def on_time_measures() -> list[Column]:
-    on_time = _ones(_operated() & ~F.col("is_arrival_delayed"))
+    on_time = _ones(operated() & ~F.col("is_arrival_delayed"))
     return [
         on_time.alias("on_time_flights"),
         percent(on_time, _all()).alias("on_time_flight_percentage"),
@@ -134,7 +134,7 @@ def airline_month(silver: DataFrame, measures: list[Column]) -> DataFrame:
 
 def airline_delay_stats(silver: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Airline-months with flights that were not cancelled."""
-    return airline_month(silver.filter(_operated()), delay_measures(accuracy))
+    return airline_month(silver.filter(operated()), delay_measures(accuracy))
 
 
 # --- airline-month: table -----------------------------------------------------
@@ -218,7 +218,7 @@ def gold_airport_departure_kpi(
         percent(_ones(on_time), _all()).alias("departure_on_time_percentage"),
     ]
     if strict:
-        share = percent(_ones(on_time & _operated()), _all())
+        share = percent(_ones(on_time & operated()), _all())
         measures.append(share.alias("strict_departure_on_time_percentage"))
     return departing_from(silver, airports).groupBy(*DEPARTURE_MONTH).agg(*measures)
 
@@ -236,7 +236,7 @@ _CAUSE_TOTALS = [
 
 def gold_delay_cause(silver: DataFrame) -> DataFrame:
     """Minutes of arrival delay and the share of four causes, per airline-month."""
-    delayed = silver.filter(_operated() & (F.col("ArrDelayMinutes") > 0))
+    delayed = silver.filter(operated() & (F.col("ArrDelayMinutes") > 0))
     minutes = {"total_minutes_delayed": "ArrDelayMinutes"}
     minutes |= {f"total_{name}_delayed_minutes": source for name, _, source in _CAUSE_TOTALS}
     totals = delayed.groupBy(*CAUSE_MONTH).agg(

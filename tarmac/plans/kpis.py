@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tarmac.functions.rates import percent, percent_of
 from tarmac.model import CAUSE_MONTH
-from tarmac.plans.gold import percentile
+from tarmac.plans.gold import operated, percentile
 
 CAUSES = {
     "Carrier": "CarrierDelay",
@@ -18,13 +18,9 @@ CAUSES = {
 }
 
 
-def _operated() -> Column:
-    return ~F.col("is_cancelled")
-
-
 def _punctual() -> Column:
     """Completed flights less than 15 minutes late, as the raw indicator has it."""
-    return F.count_if(_operated() & (F.col("ArrDel15") == 0))
+    return F.count_if(operated() & (F.col("ArrDel15") == 0))
 
 
 def _per_airline_month(silver: DataFrame, *measures: Column) -> DataFrame:
@@ -32,7 +28,7 @@ def _per_airline_month(silver: DataFrame, *measures: Column) -> DataFrame:
 
 
 def on_time_rate(silver: DataFrame) -> DataFrame:
-    flown = F.count_if(_operated())
+    flown = F.count_if(operated())
     return _per_airline_month(
         silver,
         flown.alias("completed_flights"),
@@ -43,7 +39,7 @@ def on_time_rate(silver: DataFrame) -> DataFrame:
 
 def average_arrival_delay(silver: DataFrame) -> DataFrame:
     """Mean signed arrival delay of flights that were not cancelled."""
-    mean = F.avg(F.when(_operated(), F.col("ArrDelay")))
+    mean = F.avg(F.when(operated(), F.col("ArrDelay")))
     return _per_airline_month(silver, F.round(mean, 2).alias("avg_arrival_delay"))
 
 
@@ -89,10 +85,10 @@ def network_summary(silver: DataFrame) -> DataFrame:
         F.count("*").alias("flights"),
         F.count_if(F.col("is_cancelled")).alias("cancelled"),
         _punctual().alias("punctual"),
-        F.sum(F.when(_operated(), F.col("ArrDelay"))).alias("arrival_delay"),
-        F.count(F.when(_operated(), F.col("ArrDelay"))).alias("arrivals"),
-        F.sum(F.when(_operated(), F.col("DepDelayMinutes"))).alias("departure_delay"),
-        F.count(F.when(_operated(), F.col("DepDelayMinutes"))).alias("departures"),
+        F.sum(F.when(operated(), F.col("ArrDelay"))).alias("arrival_delay"),
+        F.count(F.when(operated(), F.col("ArrDelay"))).alias("arrivals"),
+        F.sum(F.when(operated(), F.col("DepDelayMinutes"))).alias("departure_delay"),
+        F.count(F.when(operated(), F.col("DepDelayMinutes"))).alias("departures"),
         *(F.sum(c).alias(c) for c in CAUSES.values()),
     )
     measures = [c for c in sums.columns if c not in {"airline_code", "origin_code"}]

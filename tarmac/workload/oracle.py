@@ -488,6 +488,7 @@ _ORACLES = {
         FROM flights GROUP BY ALL"""
     ),
     "scan_json_airports": f"WITH {_AIRPORTS} SELECT * FROM airports",
+    "scan_json_airports_inferred": f"WITH {_AIRPORTS} SELECT * FROM airports",
     "sink_airports_roundtrip": f"WITH {_AIRPORTS} SELECT * FROM us",
     "airports_us": f"WITH {_AIRPORTS} SELECT * FROM us",
     "landing_layout_roundtrip": _flights(

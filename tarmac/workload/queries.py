@@ -122,13 +122,23 @@ def corrupt_records(spark, sf):
     )
 
 
-@query
-def scan_json_airports(spark, sf):
+def _airport_files(spark, sf) -> str:
+    """The dimension as it is delivered: each file holds one array."""
     path = scratch_path(spark, "airports-json")
-    # Each file holds one array, as the dimension is delivered.
     arrays = airports(spark, sf).select(F.to_json(F.array(F.struct("*"))).alias("value"))
     arrays.write.option("maxRecordsPerFile", 1).text(path)
-    return raw.read_airport_json(spark, path)
+    return path
+
+
+@query
+def scan_json_airports(spark, sf):
+    return raw.read_airport_json(spark, _airport_files(spark, sf))
+
+
+@query
+def scan_json_airports_inferred(spark, sf):
+    """The same files with the types Spark infers."""
+    return raw.read_airport_json(spark, _airport_files(spark, sf), infer=True)
 
 
 @query
