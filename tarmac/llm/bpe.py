@@ -30,6 +30,7 @@ import regex
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tarmac.llm.common import ship_package, stored, write_bytes
 from tarmac.session import scratch_path
@@ -39,7 +40,7 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 # Words of the lexicon, the most frequent of all documents; bounds the file (a few MB).
 LEXICON_WORDS = 50_000
 LEXICON_WORD_BYTES = 32
-WORDS_HELD = 300_000
+WORDS_HELD = 200_000
 _TEXTS_AT_ONCE = 256
 _LONG = 48
 
@@ -490,7 +491,7 @@ class Codec:
                 pieces = []
                 for at in range(0, len(part), _TEXTS_AT_ONCE):
                     rows, ids = encoder.encode(part.slice(at, _TEXTS_AT_ONCE).to_pylist())
-                    pieces.append(pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32())))
+                    pieces.append(_lists(rows, ids))
                 yield pa.concat_arrays(pieces) if pieces else pa.array([], pa.list_(pa.int32()))
 
         return run(column.cast("string"))
@@ -622,5 +623,31 @@ def round_trip(
     """
     spark = docs.sparkSession
     coder = codec(spark, vocabulary_path, frequent_words(docs, text_col, lexicon_words))
-    encoded = docs.select(F.col(id_col), coder.encode(F.col(text_col)).alias("ids"))
-    return encoded.withColumn("decoded", coder.decode(F.col("ids")))
+    kind = docs.select(id_col).schema[0].dataType
+    schema = T.StructType(
+        [
+            T.StructField(id_col, kind),
+            T.StructField("ids", T.ArrayType(T.IntegerType())),
+            T.StructField("decoded", T.StringType()),
+        ]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # One worker does both ways, a few texts at a time.
+        encoder = coder.encoder()
+        tokens = encoder.vocabulary.token_bytes
+        for batch in batches:
+            for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
+                part = batch.slice(at, _TEXTS_AT_ONCE)
+                rows, ids = encoder.encode(part["text"].to_pylist())
+                decoded = [decode_ids(tokens, ids[a:b]) for a, b in itertools.pairwise(rows.tolist())]
+                yield pa.record_batch(
+                    [part["id"], _lists(rows, ids), pa.array(decoded, pa.string())], names=schema.names
+                )
+
+    columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    return columns.mapInArrow(run, schema)
+
+
+def _lists(rows: np.ndarray, ids: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(rows, pa.int32()), pa.array(ids, pa.int32()))
