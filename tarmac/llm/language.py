@@ -145,10 +145,13 @@ def train(
         x[i, np.frombuffer(row["at"], "<i4")] = np.frombuffer(row["value"], "<f4")
     index = {lang: i for i, lang in enumerate(langs)}
     target = codes[[index[r["lang"]] for r in rows]].astype(np.float64)
+    del rows
     # Regularised least squares in its dual form: one small system for all bits.
     gram = (x @ x.T).astype(np.float64)
     gram[np.diag_indices_from(gram)] += RIDGE
-    weights = (x.T @ np.linalg.solve(gram, target)).astype(np.float32)
+    dual = np.linalg.solve(gram, target).astype(np.float32)
+    del gram
+    weights = x.T @ dual  # all single precision: no second copy of x
     wrong = np.mean((x @ weights) * target <= 0, axis=0)
     reliability = 1 - 2 * np.minimum(wrong, 0.49)
     return LanguageModel(langs, codes, weights, reliability / max(reliability.sum(), 1e-9))
