@@ -14,13 +14,13 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import held_out, stored
 
 LEAST_LENGTH = 8
-# Bound of the learning sample: about this many labelled findings, chosen by the hash of their id.
+# Bound of the learning sample: at most this many labelled findings, half of each label, chosen by the hash of their id.
 SAMPLE_FINDINGS = 20_000
 TREES = 24
 DEPTH = 6
@@ -166,15 +166,24 @@ def own_label() -> Column:
 def train(found: DataFrame, sample: int = SAMPLE_FINDINGS, seed: int = 7):
     """A forest from (id, word_pos, label, features) rows, or None unless both labels occur.
 
-    Only a bounded sample is gathered, in a fixed order, so that the forest does not depend on partitions.
+    Of each label at most half of ``sample`` is gathered, smallest hashes first, so that a rare label is not crowded
+    out by the other, and in a fixed order, so that the forest does not depend on partitions.
     """
     counts = {r[0]: r[1] for r in found.groupBy("label").count().collect()}
     if not {0, 1} <= counts.keys():
         return None
-    share = min(1.0, sample / sum(counts.values()))
+    each = max(1, sample // 2)
     mixed = F.xxhash64(F.col("id").cast("string"), "word_pos")
-    rows = found.filter(mixed <= min(2**63 - 1, int((2 * share - 1) * 2**63)))
-    rows = stored(rows.select("id", "word_pos", "label", *FEATURES), "secrets-sample")
+    # Twice the share that is needed goes into the ranking, so no task ranks a whole label.
+    near = F.lit(False)
+    for label in (0, 1):
+        low = int((2 * min(1, (2 * each + 50) / counts[label]) - 1) * 2**63)
+        near = near | ((F.col("label") == label) & (mixed <= min(low, 2**63 - 1)))
+    order = Window.partitionBy("label").orderBy(mixed, "id", "word_pos", *FEATURES)
+    rows = found.filter(near).select("id", "word_pos", "label", *FEATURES).withColumn("_rank", F.row_number().over(order))
+    rows = stored(rows.filter(F.col("_rank") <= each).drop("_rank"), "secrets-sample")
+    if rows.select("label").distinct().count() < 2:
+        return None
     rows = rows.coalesce(1).sortWithinPartitions("id", "word_pos", *FEATURES)
     forest = RandomForestClassifier(
         labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=seed, featureSubsetStrategy="sqrt"

@@ -63,3 +63,11 @@ def test_nulls_empty_repeated_and_long_texts(frame, spark):
     got = sorted((r["doc_id"] or 0, r["word_pos"], r["name"], r["score"]) for r in df.collect())
     assert got == [(0, 2, "", 1.0), (3, 0, "password", 1.0), (3, 0, "password", 1.0), (5, 50_000, "", 1.0)]
     assert secrets.scan(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_rare_secrets_stay_in_a_bounded_sample(frame):
+    rows = [(i, f"on 10.{i % 200}.{i // 200}.{i % 250}:8080 we saw", 0) for i in range(3000)]
+    rows += [(3000 + i, text, label) for i, text, label in texts(60, seed=9) if label]
+    df = secrets.scan(frame([r[:2] for r in rows], SCHEMA), sample=60)
+    got = {r["doc_id"]: r["is_secret"] for r in df.collect()}
+    assert got == {i: bool(label) for i, _, label in rows}
