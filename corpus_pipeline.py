@@ -15,6 +15,9 @@ from tarmac.llm import bpe, decontaminate, exact, language, minhash
 from tarmac.llm.common import drop_ids, stored
 from tarmac.llm.queries import bpe_digests
 
+# The similarity from which the near-duplicate stage links; the query op1 has its own threshold, 85.
+NEAR_PERCENT = 80
+
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a language (null text, or no letter): prediction ``und``."""
@@ -33,8 +36,8 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest doc_id of each component of near duplicates."""
-    found = minhash.near_duplicates(docs).filter("not kept").select("doc_id")
+    """Keep the smallest doc_id of each component of near duplicates: similarity 0.80 or more over five words."""
+    found = minhash.near_duplicates(docs, percent=NEAR_PERCENT).filter("not kept").select("doc_id")
     return drop_ids(docs, stored(found, "pipeline-near"))
 
 

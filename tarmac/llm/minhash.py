@@ -3,8 +3,9 @@
 Of every permutation both the smallest and the largest hash of a document's shingles are kept, so 96
 evaluations give a signature of 192 values. Either value agrees between two documents with
 probability equal to their similarity, so estimates and bands stay unbiased, and taking both ends
-of one permutation lowers the variance. Bands of six values (three permutations) find candidates; 32
-bands miss a pair at similarity 0.85 with probability (1 - 0.85^6)^32, below 1e-6.
+of one permutation lowers the variance. Bands find candidates, and are laid out for the threshold: 32 bands of
+six values (three permutations) miss a pair at similarity 0.85 with probability (1 - 0.85^6)^32, 38 bands of
+five values (of five permutations) a pair at 0.80 with (1 - 0.8^5)^38, both below 1e-6.
 
 1. Documents with one shingle set form a class; its smallest id stands for it from there on.
 2. In every bucket each member is compared with the smallest member only. Links are confirmed on full
@@ -35,8 +36,9 @@ from tarmac.llm.hashing import mix64, whole, windows, word_hashes
 
 SHINGLE_WORDS = 5
 PERMUTATIONS = 96
-BANDS = 32
-PER_BAND = 2 * PERMUTATIONS // BANDS
+# Values in a band at most; lower thresholds take fewer, so that a pair is missed with a probability below MISS.
+PER_BAND = 6
+MISS = 1e-6
 TILE = 256
 # A linked pair agrees in 192 * (1 + similarity) / 2 bits on average; this many standard
 # deviations fewer still count as plausible.
@@ -47,10 +49,22 @@ _STRIDE = 1024
 
 _SEEDS = mix64(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64))
 _XOR, _TIMES = _SEEDS[:PERMUTATIONS, None], _SEEDS[PERMUTATIONS:, None] | np.uint64(1)
-_BAND_SEEDS = mix64(np.arange(1000, 1000 + BANDS, dtype=np.uint64))
+_BAND_SEEDS = mix64(np.arange(1000, 1000 + 2 * PERMUTATIONS, dtype=np.uint64))
 _POWERS = (_SEEDS[: PER_BAND] | np.uint64(1))[None, :]
 
 
+def band_size(percent: int) -> int:
+    """Values in a band for a threshold: as many as keep the chance to miss a pair below ``MISS``."""
+    for size in range(PER_BAND, 1, -1):
+        if (1 - (percent / 100) ** size) ** band_count(size) < MISS:
+            return size
+    return 1
+
+
+def band_count(size: int) -> int:
+    return 2 * (PERMUTATIONS // size) if size % 2 else 2 * PERMUTATIONS // size
+
+
 def shingle_set(text: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes of a text, A-Z lower-cased; a shorter text is one shingle."""
     hashes = word_hashes(text.lower())[0]  # bytes.lower changes A-Z only
@@ -70,9 +84,15 @@ def min_max(shingles: np.ndarray) -> np.ndarray:
     return np.stack([low, high], axis=1).reshape(-1)
 
 
-def band_keys(signature: np.ndarray) -> np.ndarray:
-    rows = mix64(signature).reshape(BANDS, PER_BAND)
-    return mix64((rows * _POWERS).sum(axis=1, dtype=np.uint64) ^ _BAND_SEEDS)
+def band_keys(signature: np.ndarray, size: int = PER_BAND) -> np.ndarray:
+    """One key per band. Even bands hold both ends of their permutations, odd ones one end of each."""
+    values, count = mix64(signature), band_count(size)
+    if size % 2:
+        ends = values.reshape(PERMUTATIONS, 2).T
+        rows = ends[:, : PERMUTATIONS // size * size].reshape(count, size)
+    else:
+        rows = values[: count * size].reshape(count, size)
+    return mix64((rows * _POWERS[:, :size]).sum(axis=1, dtype=np.uint64) ^ _BAND_SEEDS[:count])
 
 
 def sketch_bits(signature: np.ndarray) -> np.ndarray:
@@ -91,7 +111,7 @@ SIGNATURE_SCHEMA = (
 )
 
 
-def _signatures(words: int):
+def _signatures(words: int, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes, digests, bands, bits = [], [], [], []
@@ -101,7 +121,7 @@ def _signatures(words: int):
                 if len(shingles):
                     signature = min_max(shingles)
                     digests.append(blake2b(shingles.tobytes(), digest_size=16).digest())
-                    bands.append(band_keys(signature).view(np.int64))
+                    bands.append(band_keys(signature, size).view(np.int64))
                     bits.append(np.concatenate([sketch_bits(signature), parity_bits(shingles)]))
                 else:
                     digests.append(None)
@@ -207,7 +227,7 @@ def near_duplicates(
     Documents are linked when 100 * intersection >= ``percent`` * union of their shingle sets (words between
     ASCII white space, A-Z lower-cased; fewer words than a shingle are one shingle). The component is
     the smallest id reachable, and the document with that id is kept; ``class_id`` is the smallest id with the
-    same set. The bands are laid out for thresholds from 0.85 on.
+    same set. The bands are laid out for ``percent``.
 
     A document without words (null, empty, white space) has an empty set and is its own component.
     Repeated rows are returned each. Rows without an id are linked like others but stand for nothing: their
@@ -215,7 +235,7 @@ def near_duplicates(
     """
     ship_package(docs.sparkSession)
     columns = _columns(docs, id_col, text_col)
-    signed = stored(columns.mapInArrow(_signatures(shingle_words), SIGNATURE_SCHEMA), "minhash")
+    signed = stored(columns.mapInArrow(_signatures(shingle_words, band_size(percent)), SIGNATURE_SCHEMA), "minhash")
     classes = (
         signed.filter("set_digest is not null and id is not null")
         .groupBy("set_digest")

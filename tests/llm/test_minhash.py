@@ -117,3 +117,11 @@ def test_components_of_long_chains(frame):
     edges = [(i, i + 1) for i in range(100)] + [(200, 200), (301, 300), (301, 300), (None, 4)]
     got = {r["id"]: r["component"] for r in components(frame(edges, "a bigint, b bigint")).collect()}
     assert got == {**{i: 0 for i in range(101)}, 300: 300, 301: 300}
+
+
+@pytest.mark.parametrize(("percent", "size", "count"), [(85, 6, 32), (80, 5, 38), (75, 4, 48), (50, 2, 96)])
+def test_bands_are_laid_out_for_the_threshold(percent, size, count):
+    assert (minhash.band_size(percent), minhash.band_count(size)) == (size, count)
+    assert (1 - (percent / 100) ** size) ** count < 1e-6
+    signature = minhash.min_max(minhash.shingle_set(b"one two three four five six seven"))
+    assert len(set(minhash.band_keys(signature, size))) == count

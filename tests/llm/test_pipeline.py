@@ -56,3 +56,13 @@ def test_stages_keep_columns_and_take_odd_tables(spark, frame):
         left = sorted((r["doc_id"] or 0) for r in docs.collect())
         assert left == ([0, 5] if rows else [])
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == len(left)
+
+
+def test_near_duplicate_stage_links_from_080_on(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
+    roots = brute_force(rows, percent=80)
+    assert roots != brute_force(rows, percent=85)
+    kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()}
+    assert kept == {i for i, (_, root) in roots.items() if root == i}
