@@ -1,6 +1,7 @@
 """Secret scan with a random forest that removes false positives, in DataFrame operations only.
 
-Candidates are words that are assigned to something or look random: long, with a digit. Each is described by
+Candidates are words of at least eight characters that are assigned to a secret's name, in the same word or
+by the words before, or look random: 12 characters with a digit, or an issued key's form. Each is described by
 its length, its character transitions, how much of it is dictionary words, whether it is a path or an
 address, and by the words next to it. A random forest learns from labelled findings which candidates are
 secrets. Where none are given, candidates whose form settles the matter label themselves: issued key
@@ -30,6 +31,8 @@ SECRET_NAMES = (
     "password passwd pwd passphrase secret token apikey api_key api-key access_key access-key auth_token "
     "auth credential credentials private_key client_secret secret_key bearer"
 ).split()
+# Such a name after nothing or after a prefix that ends in _ or -.
+NAME_AT_END = f"(?:^|[_-])(?:{'|'.join(SECRET_NAMES)})$"
 # Forms of keys that services issue.
 ISSUED = (
     "^(?:AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}|^xox[abpr]-|^AIza[0-9A-Za-z_-]{35}$"
@@ -67,8 +70,26 @@ def _longest(value: Column, pattern: str) -> Column:
 
 
 def _is_name(word: Column) -> Column:
-    bare = F.regexp_replace(F.lower(word), "[^a-z_-]", "")
-    return bare.isin(*SECRET_NAMES)
+    """A secret's name, also behind a prefix: DB_PASSWORD, x-api-key, dbPassword, spring.datasource.password."""
+    parted = F.regexp_replace(word, "(?<=[a-z0-9])(?=[A-Z])|\\.(?=[A-Za-z])", "_")
+
+    def ends(form: Column) -> Column:
+        return F.regexp_replace(F.lower(form), "[^a-z_-]", "").rlike(NAME_AT_END)
+
+    return ends(word) | ends(parted)
+
+
+def _assigned_before(word: Column, before: Column, before2: Column) -> Column:
+    """Whether the words before assign to a secret's name: ``name: x``, ``name = x``, ``name =x``, ``auth: Bearer x``."""
+    signs = before.rlike("^[\"']?[:=]+>?$")
+    here = before.rlike("[:=]$") & ~signs
+    two = before2.rlike("[:=]$") & F.lower(before).rlike("^(?:bearer|basic|token)$")
+    return (
+        (here & _is_name(before))
+        | (signs & _is_name(before2))
+        | (word.rlike("^[:=]") & _is_name(before))
+        | (two & _is_name(F.regexp_replace(before2, "(?i)authorization", "auth")))
+    )
 
 
 def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -82,7 +103,13 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             F.transform(
                 "words", lambda w, i: F.struct(w.alias("word"), i.cast("int").alias("pos"))
             ),
-            lambda s: (F.length(s["word"]) >= LEAST_LENGTH) & s["word"].rlike(f"[0-9]|[=:].|{ISSUED_STARTS}"),
+            lambda s: (F.length(s["word"]) >= LEAST_LENGTH)
+            & (
+                s["word"].rlike(f"[0-9]|[=:].|{ISSUED_STARTS}")
+                # A cheap test first: = or : at the end of one of the two words before.
+                | F.coalesce(F.get("words", s["pos"] - 1).rlike("[:=]>?$"), F.lit(False))
+                | F.coalesce(F.get("words", s["pos"] - 2).rlike("[:=]$"), F.lit(False))
+            ),
         ),
     )
     at = placed.select("id", "words", F.explode("found").alias("f"))
@@ -93,7 +120,9 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return F.coalesce(F.when(inside, F.get("words", pos)), F.lit(""))
 
     # name=value, name:"value" or the bare value; trailing punctuation is not part of it.
-    split = r'''^["'(\[{<]*(?:([A-Za-z][A-Za-z0-9_-]*)["']?[=:]+(?!/))?["'(]*(.*?)["'.,;:!?)\]}>]*$'''
+    dotted = f"(?:[A-Za-z0-9_-]++\\.)++(?=[A-Za-z0-9_-]*(?i:{'|'.join(SECRET_NAMES)})[\"']?[=:])"
+    named = f"(?:[_$-]*+(?:{dotted})?([A-Za-z][A-Za-z0-9_-]*))?[\"']?[=:]+(?!/)"
+    split = f"^[\"'(\\[{{<]*(?:{named})?[\"'(]*(.*?)[\"'.,;:!?)\\]}}>]*$"
     word = F.col("f.word")
     found = at.select(
         "id",
@@ -107,9 +136,8 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     random_form = F.col("value").rlike("[0-9]") & (F.length("value") >= 12)
     random_form = random_form | F.col("value").rlike(ISSUED)
-    return found.filter(
-        (F.length("value") >= LEAST_LENGTH) & (random_form | _is_name(F.col("name")))
-    )
+    assigned = _is_name(F.col("name")) | _assigned_before(F.col("word"), F.col("before"), F.col("before2"))
+    return found.filter((F.length("value") >= LEAST_LENGTH) & (random_form | assigned))
 
 
 def described(found: DataFrame) -> DataFrame:
@@ -140,7 +168,7 @@ def described(found: DataFrame) -> DataFrame:
         "is_address": value.rlike("(?i)://|^www\\.|\\.(com|net|org|html?)$"),
         "named_inline": _is_name(F.col("name")),
         "named_before": _is_name(F.col("before")) | _is_name(F.col("before2")),
-        "assigned": (F.col("name") != "") | F.col("before").rlike("[=:]$"),
+        "assigned": (F.col("name") != "") | F.col("before").rlike("[=:]>?$") | F.col("word").rlike("^[=:]"),
         "quoted": F.col("word").rlike("[\"']"),
         "number_before": F.col("before").rlike("^[(+]?[0-9]"),
         "before_chars": F.length("before"),

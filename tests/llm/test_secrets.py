@@ -71,3 +71,22 @@ def test_rare_secrets_stay_in_a_bounded_sample(frame):
     df = secrets.scan(frame([r[:2] for r in rows], SCHEMA), sample=60)
     got = {r["doc_id"]: r["is_secret"] for r in df.collect()}
     assert got == {i: bool(label) for i, _, label in rows}
+
+
+def test_words_assigned_to_a_name_are_candidates(frame):
+    found = [
+        ("password: Sw0rdf1sh", 1, ""), ('password = "correcthorsebattery"', 2, ""), ("DB_PASSWORD=hunter2abc", 0, "DB_PASSWORD"),
+        ("my-token := abcdefgh", 2, ""), ('{"client_secret": "abcdefgh"}', 1, ""), ("dbPassword=abcdefgh", 0, "dbPassword"),
+        ("spring.datasource.password=abcdefgh", 0, "password"), ('pwd ="abcdefgh"', 1, ""), ("auth: Bearer abcdefgh", 2, ""),
+    ]
+    lost = ["password: short", "the password hunters said", "see also: correcthorsebattery", "keynote=abcdefgh", "a password is = to"]
+    rows = [(i, text) for i, (text, _, _) in enumerate(found)] + [(100 + i, text) for i, text in enumerate(lost)]
+    got = {(r["doc_id"], r["word_pos"], r["name"]) for r in secrets.scan(frame(rows, SCHEMA)).collect()}
+    assert got == {(i, at, name) for i, (_, at, name) in enumerate(found)}
+
+
+def test_the_forest_judges_words_without_digits(frame):
+    rows = [(i, f"{'password' if i % 2 else 'db_token'}: {'correct' if i % 3 else 'xkqzvwpj'}horse{'abcdefgh'[i % 8]} x") for i in range(240)]
+    labels = frame([(i, 1, int(i % 3 == 0)) for i, _ in rows], "doc_id bigint, word_pos int, label int")
+    got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(frame(rows, SCHEMA), labelled=labels).collect()}
+    assert got == {i: i % 3 == 0 for i, _ in rows}
