@@ -97,22 +97,32 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     # A cheap test of the whole text first: a candidate has a digit, an issued key's start, or stands behind = or :.
     texts = texts.filter(F.col("text").rlike(f"[0-9]|[=:]|{ISSUED_STARTS}"))
-    placed = texts.select("id", _words(F.col("text")).alias("words")).withColumn(
+    placed = texts.select("id", _words(F.col("text")).alias("words"))
+    # Each word with the two before it, side by side: a look into the array per word would repeat the split.
+    none = F.array(F.lit("").cast("string"))
+    sides = F.arrays_zip(
+        F.col("words").alias("word"),
+        F.concat(none, "words").alias("before"),
+        F.concat(none, none, "words").alias("before2"),
+    )
+    placed = placed.withColumn(
         "found",
         F.filter(
             F.transform(
-                "words", lambda w, i: F.struct(w.alias("word"), i.cast("int").alias("pos"))
+                sides,
+                lambda z, i: F.struct(z["word"].alias("word"), i.cast("int").alias("pos"), z["before"].alias("before"), z["before2"].alias("before2")),
             ),
             lambda s: (F.length(s["word"]) >= LEAST_LENGTH)
             & (
                 s["word"].rlike(f"[0-9]|[=:].|{ISSUED_STARTS}")
                 # A cheap test first: = or : at the end of one of the two words before.
-                | F.coalesce(F.get("words", s["pos"] - 1).rlike("[:=]>?$"), F.lit(False))
-                | F.coalesce(F.get("words", s["pos"] - 2).rlike("[:=]$"), F.lit(False))
+                | s["before"].rlike("[:=]>?$")
+                | s["before2"].rlike("[:=]$")
             ),
         ),
     )
-    at = placed.select("id", "words", F.explode("found").alias("f"))
+    # Outer, as Spark would otherwise infer a filter that makes ``found`` a second time; no word, no candidate.
+    at = placed.select("id", "words", F.explode_outer("found").alias("f"))
 
     def near(offset: int) -> Column:
         pos = F.col("f.pos") + offset
