@@ -143,10 +143,8 @@ def _look_up_shard(asked: pa.Table, index: pa.Table) -> pa.Table:
 
 
 def _grouped(rows: DataFrame) -> DataFrame:
-    """One row per digest: the largest id (-1 where no copy has one) and the copies."""
-    return rows.groupBy("digest").agg(
-        F.coalesce(F.max("id"), F.lit(-1)).alias("winner"), F.count("*").alias("copies")
-    )
+    """One row per digest: the largest id (null where no copy has one) and the copies."""
+    return rows.groupBy("digest").agg(F.max("id").alias("winner"), F.count("*").alias("copies"))
 
 
 def build_index(groups: DataFrame, shard_count: int) -> DataFrame:
@@ -215,7 +213,7 @@ def exact_duplicates(
     groups = seen.unionByName(untouched.withColumn("member", F.lit(True))).select(
         F.col("digest").alias("group_digest"), "member", "winner", "copies"
     )
-    keep = F.when(F.col("winner") >= 0, F.col("winner"))
+    keep = F.col("winner")
     return rows.join(groups, F.col("digest") == F.col("group_digest"), "left").select(
         F.col("id").alias(id_col),
         keep.alias("keep_id"),

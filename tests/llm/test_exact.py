@@ -71,3 +71,9 @@ def test_one_text_everywhere_extra_columns_and_empty_table(frame, spark):
     assert {(r["keep_id"], r["group_size"]) for r in df.collect()} == {(199, 200)}
     assert df.filter("kept").count() == 1
     assert exact.exact_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+@pytest.mark.parametrize("history", [None, -100, -3, 10**9])
+def test_negative_ids(frame, history):
+    rows = [(-9, "a"), (-4, "a"), (-1, "b"), (-7, "c"), (5, "c"), (None, "a"), (None, "d"), (-(2**63), "e"), (2**63 - 1, "f")]
+    assert found(exact.exact_duplicates(frame(rows, SCHEMA), history_up_to=history)) == expected(rows)
