@@ -11,8 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from tarmac.model import FLIGHT_COLUMNS, FLIGHT_TYPES  # noqa: E402
 from tarmac.session import local_session  # noqa: E402
 
-SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-
 DEFAULTS = {
     "FlightDate": dt.date(2021, 3, 14),
     "Reporting_Airline": "AA",
@@ -72,11 +70,3 @@ def make_airports(spark):
         return spark.createDataFrame([airport(*row) for row in rows], AIRPORT_DDL)
 
     return build
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
-def rows_of(df):
-    return sorted((tuple(row) for row in df.collect()), key=repr)

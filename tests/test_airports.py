@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tarmac.operators import airports as dim

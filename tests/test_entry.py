@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import pytest
 from check_oracle import compare, connect
-from conftest import SF
+from helpers import SF
 
 import __spark_entry__ as entry
 from tarmac.workload import oracle, queries as registered

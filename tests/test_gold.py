@@ -4,7 +4,7 @@ import datetime as dt
 import math
 
 import pytest
-from conftest import SF, rows_of
+from helpers import SF, rows_of
 from pyspark.sql import functions as F
 
 from tarmac.model import AIRLINE_MONTH, GOLD_COLUMNS

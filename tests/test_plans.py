@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import SF, plan_of
+from helpers import SF, plan_of
 
 from tarmac.workload.flights import flights
 from tarmac.workload.queries import queries

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows_of
+from helpers import rows_of
 
 from tarmac.model import FLIGHT_COLUMNS, NULL_FLAGS, RANGE_FLAGS
 from tarmac.operators import quality

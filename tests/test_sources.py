@@ -5,7 +5,7 @@ import json
 import os
 
 import pytest
-from conftest import plan_of, rows_of
+from helpers import plan_of, rows_of
 from pyspark.sql import functions as F
 
 from tarmac.model import CORRUPT_FIELD, FLIGHT_COLUMNS, RAW_FLIGHT_FIELDS
