@@ -4,7 +4,7 @@ import hashlib
 
 import corpus_pipeline
 import public_tokenizers
-from test_minhash import brute_force
+from test_llm_minhash import brute_force
 from tokenizers import Tokenizer
 
 from tarmac.llm import decontaminate
@@ -22,7 +22,7 @@ def test_stages_equal_a_brute_force_version(spark, frame):
     for i, t in spoken:
         last[t] = max(i, last.get(t, i))
     unique = [(i, t) for i, t in spoken if last[t] == i]
-    roots = brute_force(unique)
+    roots = brute_force(unique, percent=corpus_pipeline.NEAR_PERCENT)
     apart = [(i, t) for i, t in unique if roots[i][1] == i]
     leaks = decontaminate.contaminated(
         frame(apart, "doc_id bigint, text string"), spark.read.parquet(f"{sf}/benchmark.parquet")
