@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, decontaminate, exact, language, minhash, phrases, quality, secrets, urls, warc
+from tarmac.llm import bpe, conversation, decontaminate, exact, language, minhash, phrases, quality, recompression, secrets, urls, warc
 from tarmac.llm.common import held_out
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -94,3 +94,56 @@ def op9_secret_scan(spark, sf):
 def op10_warc(spark, sf):
     captures = warc.archive_and_index(table(spark, sf, "pages"))
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """Documents of which one in ten, by the crc32 of its id, has words repeated with one period from some place on."""
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    n = F.greatest(F.size(words), F.lit(1)).cast("bigint")
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+    a = g % n
+    p = F.floor((n - a) / (3 + g % 8)) + 1
+    at, period, left = (a + 1).cast("int"), p.cast("int"), (n - a).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, at, period), F.ceil(left / period).cast("int")))
+    planted = F.concat(F.slice(words, F.lit(1), at - 1), F.slice(again, F.lit(1), left))
+    chosen = (h % 10 == 0) & (F.size(words) > 0)
+    return docs.withColumn("text", F.when(chosen, F.array_join(planted, " ")).otherwise(F.col("text")))
+
+
+@query
+def op12_periodic_runs(spark, sf):
+    found = recompression.periodic_runs(with_planted_periods(table(spark, sf, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    text = F.array_join(F.transform(lines, lambda line: F.concat(line, F.lit("\n"))), "")
+    best = F.col("strongest")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(text.cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Conversations with planted faults, chosen by the crc32 of ``conv_id:turn``; ``copies`` is 0, 1 or 2."""
+    turn = F.concat(*[F.coalesce(c, F.lit(" ")) for c in (F.col("conv_id").cast("string"), F.lit(":"), F.col("turn").cast("string"))])
+    kind = F.crc32(turn.cast("binary")) % 20
+    text = F.coalesce("text", F.lit(" "))
+    return turns.select(
+        "conv_id",
+        "turn",
+        F.when(kind == 4, "user").otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(kind == 1, "").when(kind == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.when(kind == 0, 0).when(kind == 3, 2).otherwise(1).alias("copies"),
+    )
+
+
+@query
+def op13_conversation_repair(spark, sf):
+    return conversation.repair(damaged(table(spark, sf, "conversations")), copies_col="copies")
