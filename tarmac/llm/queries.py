@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tarmac.llm import bpe, conversation, decontaminate, exact, language, minhash, phrases, quality, recompression, secrets, urls, warc
+from tarmac.llm import bpe, conversation, decontaminate, exact, language, minhash, mixing, phrases, quality, recompression, secrets, urls, warc
 from tarmac.llm.common import held_out
 
 _REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,6 +96,12 @@ def op10_warc(spark, sf):
     return captures.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op11_context_mixing(spark, sf):
+    scored = mixing.score(table(spark, sf, "documents"), ~held_out("doc_id", 10, 0))
+    return scored.withColumn("learns", ~F.col("learns")).withColumnRenamed("learns", "held_out")
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """Documents of which one in ten, by the crc32 of its id, has words repeated with one period from some place on."""
     words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
