@@ -18,6 +18,7 @@ from tarmac.functions import (
     is_one,
 )
 from tarmac.operators.airports import with_both_airports
+from tarmac.operators.counts import StepCounts
 from tarmac.operators.dedup import LOAD_TIME, latest_filing
 from tarmac.sources.raw import SOURCE_FILE
 
@@ -123,9 +124,16 @@ def enriched(flights: DataFrame, airports: DataFrame) -> DataFrame:
 
 
 def silver_flights(
-    bronze: DataFrame, airports: DataFrame, tie_break: Sequence[str] | None = None
+    bronze: DataFrame,
+    airports: DataFrame,
+    tie_break: Sequence[str] | None = None,
+    counts: StepCounts | None = None,
 ) -> DataFrame:
     """The Silver table. Deduplication comes first: it shuffles, and the features
-    need not travel with the rows. The file a row came from ends with Bronze."""
-    kept = latest_filing(with_load_time(bronze.drop(SOURCE_FILE)), tie_break=tie_break)
-    return enriched(with_features(kept), airports)
+    need not travel with the rows. The file a row came from ends with Bronze.
+    ``counts`` observes the rows of each step while the table is written."""
+    counts = counts or StepCounts()
+    rows = counts.at("bronze", with_load_time(bronze.drop(SOURCE_FILE)))
+    kept = counts.at("deduplicated", latest_filing(rows, tie_break=tie_break))
+    joined = enriched(with_features(kept), airports)
+    return counts.at("joined_to_airports", joined, origin_matched=F.col("origin_airport_name"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import csv
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +17,7 @@ from tarmac.model import (
     RAW_FLIGHT_SCHEMA,
     TRAILING_FIELD,
 )
+from tarmac.sources import files
 
 # Column pruning stays off: a pruned scan parses only the columns a query reads
 # and would then report fewer corrupt lines than there are.
@@ -60,6 +65,32 @@ def with_delivery(lines: DataFrame) -> DataFrame:
     )
 
 
+# The names a landing file has to begin with, in order.
+HEADER = [name for name, _ in RAW_FLIGHT_FIELDS if name not in (TRAILING_FIELD, CORRUPT_FIELD)]
+
+
+def header_problem(line: str | None) -> str | None:
+    """Why the first line of a file does not name the expected fields in their order; None where it does.
+
+    Fields are read by position, so a file with other fields, or the same in another order, would
+    load wrong values without an error. The empty name after the comma that ends every line may lack.
+    """
+    if not line:
+        return "no header"
+    names = [name.strip() for name in next(csv.reader([line.removeprefix("\ufeff")]))]
+    if names[-1] == "":
+        names.pop()
+    for place, (found, wanted) in enumerate(zip(names, HEADER), start=1):
+        if found != wanted:
+            return f"field {place} is {found}, not {wanted}"
+    return None if len(names) == len(HEADER) else f"{len(names)} fields, not {len(HEADER)}"
+
+
+def header_problems(spark: SparkSession, paths: list[str]) -> list[str | None]:
+    """The problem of each file's header. Only the first line of a file is read."""
+    return [header_problem(line) for line in files.first_lines(spark, paths)]
+
+
 def landing_files(spark: SparkSession, root: str) -> DataFrame:
     """(source_file, load_timestamp) of every landing file; a listing, no file is opened."""
     files = spark.read.format("binaryFile").load(f"{root.rstrip('/')}/{LANDING_GLOB}")
@@ -79,9 +110,8 @@ def write_landing(
 ) -> None:
     """Flights as raw CSV below ``root/year=YYYY/month=M/``, foldered by the date in ``day``.
 
-    Fields the input lacks are written empty, and each line ends with a comma.
-    Fields are read by position, so they are written under positional names;
-    ``year`` and ``month`` then only name folders. A month is spread over as
+    Fields the input lacks are written empty, and each line ends with a comma. ``Year`` and ``year`` are
+    a field and a folder, so names are told apart by case while this writes. A month is spread over as
     many tasks as its size asks for (``rebalance``), however large it is.
     """
     have = set(flights.columns)
@@ -93,22 +123,34 @@ def write_landing(
         "DayofMonth": F.dayofmonth(day),
     }
     fields = []
-    for position, (name, kind) in enumerate(RAW_FLIGHT_FIELDS):
+    for name, kind in RAW_FLIGHT_FIELDS:
         if name == CORRUPT_FIELD:
             continue
         if name in have:
             value = F.col(name)
         else:
             value = derived.get(name, F.lit(None).cast(kind))
-        fields.append(value.alias(f"f{position}"))
-    (
-        flights.select(*fields, F.year(day).alias("year"), F.month(day).alias("month"))
-        .hint("rebalance", "year", "month")
-        .write.mode(mode)
-        .partitionBy("year", "month")
-        .options(header="true", emptyValue="")
-        .csv(root)
-    )
+        fields.append(value.alias("" if name == TRAILING_FIELD else name))
+    with _case_sensitive(flights.sparkSession):
+        (
+            flights.select(*fields, F.year(day).alias("year"), F.month(day).alias("month"))
+            .hint("rebalance", "year", "month")
+            .write.mode(mode)
+            .partitionBy("year", "month")
+            .options(header="true", emptyValue="")
+            .csv(root)
+        )
+
+
+@contextlib.contextmanager
+def _case_sensitive(spark: SparkSession) -> Iterator[None]:
+    name = "spark.sql.caseSensitive"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def read_airport_json(spark: SparkSession, path: str, infer: bool = False) -> DataFrame:
@@ -120,9 +162,12 @@ def read_airport_json(spark: SparkSession, path: str, infer: bool = False) -> Da
 __all__ = [
     "CSV_OPTIONS",
     "FOLDER",
+    "HEADER",
     "LANDING_GLOB",
     "SOURCE_FILE",
     "TRAILING_FIELD",
+    "header_problem",
+    "header_problems",
     "landing_files",
     "read_airport_json",
     "read_flight_csv",

@@ -9,27 +9,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tarmac.session import scratch_path
+from tarmac.sources import drift, files
+from tarmac.sources.layout import interleaved
 
 PARTITIONS = ("year", "month")
 CLUSTER_BY = ("airline_code", "origin_code")
 RANGE_BYTES = 64 << 20
+_OVERWRITE = {"table": "static", "partitions": "dynamic"}
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """The table at ``path``, with the schema that lies beside it if there is one (``drift``)."""
+    schema = drift.stored_schema(spark, path)
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything at a path, wherever Spark can reach."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return files.exists(spark, path)
 
 
 def read_query(spark: SparkSession, query: str, fmt: str = "jdbc", **options) -> DataFrame:
     """What a serving database answers to a query, through its Spark connector.
 
-    The connector's jar and its connection options are up to the session. Not
-    covered by a test: that takes a server.
+    The connector's jar and its connection options are up to the session. Not covered by a test: that takes a
+    server; ``serving.query_export`` asks the exported files instead.
     """
     return spark.read.format(fmt).options(**options).option("query", query).load()
 
@@ -53,6 +58,22 @@ def read_months(
     return read_table(spark, path, fmt).filter(year.between(y1, y2) & after & before)
 
 
+def in_months(df: DataFrame, months: Sequence[tuple]) -> DataFrame:
+    """The rows of some (year, month) partitions, reading only those; None stands for a missing one."""
+    wanted = F.lit(False)
+    for values in months:
+        parts = [
+            F.col(c).isNull() if v is None else F.col(c) == v for c, v in zip(PARTITIONS, values)
+        ]
+        wanted = wanted | (parts[0] & parts[1])
+    return df.filter(wanted)
+
+
+def partition_folder(path: str, values: Sequence, partitions: Sequence[str] = PARTITIONS) -> str:
+    parts = (f"{c}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}" for c, v in zip(partitions, values))
+    return "/".join([path.rstrip("/"), *parts])
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace the table at ``path``."""
     df.write.format(fmt).mode("overwrite").save(path)
@@ -77,11 +98,10 @@ def write_partitioned(
     if replace == "nothing":
         writer.mode("append").save(path)
         return
-    modes = {"table": "static", "partitions": "dynamic"}
     (
         writer.mode("overwrite")
         .option("overwriteSchema", "true")
-        .option("partitionOverwriteMode", modes[replace])
+        .option("partitionOverwriteMode", _OVERWRITE[replace])
         .save(path)
     )
 
@@ -94,35 +114,51 @@ def write_clustered(
     spread_by: Sequence[str] = ("FlightDate", "Flight_Number_Reporting_Airline"),
     fmt: str = "parquet",
     range_bytes: int = RANGE_BYTES,
+    replace: str = "table",
+    months: Sequence[tuple] = (),
+    interleave: bool = False,
     **options,
 ) -> None:
     """Write a partitioned table whose files each cover a narrow range of the
     clustering columns, so that a filter on them skips files and row groups.
 
     The rows are stored once in the shared folder: sampling the range bounds and
-    sorting then read the copy and do not compute the rows again. There is a range
+    sorting then read the copy and do not compute the rows again, and the table may
+    be written from itself. The copy is deleted in the end. There is a range
     per ``range_bytes`` of the copy. Ranges end with ``spread_by``, which lets one
-    very frequent airline and origin be cut over several tasks. ``options`` go to
+    very frequent airline and origin be cut over several tasks. With ``interleave`` rows
+    lie along a curve through all clustering columns (``layout.interleaved``), so that a filter on any of them
+    skips files, where the plain order serves the first. ``replace="partitions"`` overwrites just
+    the partitions the rows belong to, and empties those of ``months`` that have none any more. ``options`` go to
     the writer, for formats that keep statistics of their own.
     """
     spark = df.sparkSession
     copy = scratch_path(spark, "clustered")
-    df.write.parquet(copy)
-    rows = spark.read.schema(df.schema).parquet(copy)
-    size = spark.read.format("binaryFile").load(copy).agg(F.sum("length")).first()[0]
-    (
-        rows.repartitionByRange(
-            max(1, math.ceil((size or 0) / range_bytes)), *partitions, *cluster_by, *spread_by
+    try:
+        df.write.parquet(copy)
+        rows = spark.read.schema(df.schema).parquet(copy)
+        size = spark.read.format("binaryFile").load(copy).agg(F.sum("length")).first()[0]
+        order = [F.col(c) for c in cluster_by]
+        if interleave:
+            order = [interleaved(rows, cluster_by), *order]
+        ranges = max(1, math.ceil((size or 0) / range_bytes))
+        (
+            rows.repartitionByRange(ranges, *partitions, *order, *spread_by)
+            .sortWithinPartitions(*partitions, *order)
+            .write.format(fmt)
+            .mode("overwrite")
+            .option("overwriteSchema", "true")
+            .option("partitionOverwriteMode", _OVERWRITE[replace])
+            .options(**options)
+            .partitionBy(*partitions)
+            .save(path)
         )
-        .sortWithinPartitions(*partitions, *cluster_by)
-        .write.format(fmt)
-        .mode("overwrite")
-        .option("overwriteSchema", "true")
-        .option("partitionOverwriteMode", "static")
-        .options(**options)
-        .partitionBy(*partitions)
-        .save(path)
-    )
+        if months:
+            left = {tuple(r) for r in rows.select(*partitions).distinct().collect()}
+            for emptied in set(map(tuple, months)) - left:
+                files.delete(spark, partition_folder(path, emptied, partitions))
+    finally:
+        files.delete(spark, copy)
 
 
 def export_parquet(df: DataFrame, path: str) -> None:

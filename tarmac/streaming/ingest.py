@@ -1,7 +1,7 @@
 """Landing files to Bronze as they arrive, through the writer of the batch jobs.
 
 The only streaming there is. The checkpoint remembers which files were seen; each
-batch is written by the batch writer, which leaves out files that Bronze holds. So
+batch is written by the batch writer, which leaves out files that the ledger of Bronze has. So
 a batch that is repeated after a failure adds nothing twice, and batch jobs and
 streaming may take turns on one table.
 """
@@ -11,10 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.model import RAW_FLIGHT_SCHEMA
-from tarmac.operators.completeness import not_yet_loaded
-from tarmac.plans.jobs import DELIVERY, append_deliveries
+from tarmac.plans.jobs import append_lines
 from tarmac.sources.raw import CSV_OPTIONS, LANDING_GLOB, with_delivery
-from tarmac.sources.tables import read_table, table_exists
 
 
 def ingest_new_files(
@@ -28,9 +26,7 @@ def ingest_new_files(
     """Append the files that arrived since the last run to Bronze, then return."""
 
     def write(batch: DataFrame, _: int) -> None:
-        if table_exists(batch.sparkSession, path):
-            batch = not_yet_loaded(batch, read_table(batch.sparkSession, path, fmt), DELIVERY)
-        append_deliveries(batch, path, fmt)
+        append_lines(batch, path, fmt)
 
     lines = (
         spark.readStream.schema(RAW_FLIGHT_SCHEMA)
