@@ -10,24 +10,29 @@ five values (of five permutations) a pair at 0.80 with (1 - 0.8^5)^38, both belo
 1. Documents with one shingle set form a class; its smallest id stands for it from there on.
 2. In every bucket each member is compared with the smallest member only. Links are confirmed on full
    sets, and linked classes merge into components.
-3. Buckets whose members are all in one component are done. In the others, members of
-   different components are compared, tile by tile: a bucket is cut into tiles of bounded size,
-   so that neither a task nor a row holds a bucket. Only pairs that the sizes, the parities of 512 parts of
-   the shingle space (each odd difference is at least one shingle that only one set has) and one bit
-   per signature value leave plausible are emitted. They are confirmed like the rest.
-
+3. Buckets whose members are all in one component are done. In others of more than ``FEW`` members pivot rounds follow: a bucket offers
+   4, 16, then 64 members of different components, and the members of other components are compared with these only; links are
+   confirmed and merged before the next round. So a group of near copies closes after as many comparisons as it has
+   members, times the pivots, and no member is copied more often than there are pivots.
+4. What is open then is judged in full. Members outside a bucket's largest component are compared with all of the
+   bucket where they are few (``FEW``). Where they are many, candidates come from an exact prefix filter: two sets over the
+   threshold share one of the rarest shingles of each, as many as leave fewer than the threshold asks for.
+   Per shingle again only members outside its largest component are compared with all.
+
+Only pairs of different components that the sizes, the parities of 512 parts of the shingle space (each odd difference
+is at least one shingle that only one set has) and one bit per signature value leave plausible are emitted and confirmed.
 So every pair of different components that meets in a bucket is judged, without pairs inside
 a group that is linked already.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.llm.common import keep_ids, ship_package, stored
@@ -39,7 +44,9 @@ PERMUTATIONS = 96
 # Values in a band at most; lower thresholds take fewer, so that a pair is missed with a probability below MISS.
 PER_BAND = 6
 MISS = 1e-6
-TILE = 256
+# Pivots of a bucket in each round, and members outside its largest component that are compared with all of it.
+PIVOTS = (4, 16, 64)
+FEW = 64
 # A linked pair agrees in 192 * (1 + similarity) / 2 bits on average; this many standard
 # deviations fewer still count as plausible.
 BIT_DEVIATIONS = 6.5
@@ -191,27 +198,75 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.filter(100 * shared >= percent * union).select("a", "b")
 
 
-def _cross_pairs(members: DataFrame, percent: int, tile: int) -> DataFrame:
-    """Plausible pairs of different components within each bucket, cut into tiles."""
-    sizes = members.groupBy("key").agg(F.count("*").alias("size"))
-    sizes = sizes.select(F.col("key").alias("bucket"), F.ceil(F.col("size") / tile).cast("int").alias("blocks"))
-    placed = members.join(sizes, F.col("key") == F.col("bucket")).select(
-        "key", "id", "component", "n_shingles", "bits", "blocks",
-        F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
-    )
-    left = placed.withColumn("other", F.explode(F.sequence(F.col("block"), F.col("blocks") - 1)))
-    right = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("block"))))
+def _pivot_pairs(members: DataFrame, pivots: int, percent: int) -> DataFrame:
+    """Plausible pairs of each bucket's pivots, one member each of that many components, with members of others."""
+    one_each = members.groupBy("key", "component").agg(
+        F.min(F.struct(F.xxhash64("id", F.lit(pivots)).alias("mixed"), "id", "n_shingles", "bits")).alias("pivot")
+    )
+    place = F.row_number().over(Window.partitionBy("key").orderBy("pivot.mixed", "pivot.id"))
+    chosen = one_each.withColumn("place", place).filter(F.col("place") <= pivots)
+    chosen = chosen.select("key", "component", "pivot.id", "pivot.n_shingles", "pivot.bits")
+    pair = (
+        (F.col("l.key") == F.col("r.key"))
+        & (F.col("l.component") != F.col("r.component"))
+        & _plausible(percent, "l", "r")
+    )
+    return _ordered(members.alias("l").join(chosen.alias("r"), pair))
+
+
+def _ordered(joined: DataFrame) -> DataFrame:
+    return joined.select(F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")).distinct()
+
+
+def _with_minors(members: DataFrame) -> DataFrame:
+    """The members with ``minor``: not in the largest component of their key, ``minors``: how many are not, ``all``."""
+    sizes = members.groupBy("key", "component").agg(F.count("*").alias("size"))
+    largest = sizes.groupBy("key").agg(
+        F.max(F.struct("size", "component")).alias("top"), F.sum("size").alias("all")
+    )
+    largest = largest.select(
+        F.col("key").alias("bucket"), F.col("top.component").alias("largest"), (F.col("all") - F.col("top.size")).alias("minors"), "all"
+    )
+    return members.join(largest, F.col("key") == F.col("bucket")).select(
+        *members.columns, (F.col("component") != F.col("largest")).alias("minor"), "minors", "all"
+    )
+
+
+def _minor_pairs(members: DataFrame, percent: int) -> DataFrame:
+    """Plausible pairs of different components within each key: those outside the largest one with all."""
     pair = (
         (F.col("l.key") == F.col("r.key"))
-        & (F.col("l.block") == F.col("r.other"))
-        & (F.col("l.other") == F.col("r.block"))
         & (F.col("l.component") != F.col("r.component"))
-        & ((F.col("l.block") != F.col("r.block")) | (F.col("l.id") < F.col("r.id")))
+        & (~F.col("r.minor") | (F.col("l.id") < F.col("r.id")))
         & _plausible(percent, "l", "r")
     )
-    return left.alias("l").join(right.alias("r"), pair).select(
-        F.greatest("l.id", "r.id").alias("a"), F.least("l.id", "r.id").alias("b")
-    ).distinct()
+    return _ordered(members.filter("minor").alias("l").join(members.alias("r"), pair))
+
+
+def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The members by their rarest shingles: as many as two sets over the threshold cannot both do without."""
+    rows = sets.join(members, "id").select("id", "component", "n_shingles", "bits", F.explode("shingles").alias("key"))
+    held = rows.groupBy("key").agg(F.count("*").alias("holders")).filter("holders > 1")
+    n = F.col("n_shingles")
+    length = n - F.floor((percent * n + 99) / 100) + 1
+    alone = F.coalesce("holders", F.lit(1))
+    place = F.row_number().over(Window.partitionBy("id").orderBy(alone, "key"))
+    # Shingles of one member only take a place in its prefix, but meet nobody.
+    ranked = rows.join(held, "key", "left").withColumns({"place": place, "holders": alone})
+    return ranked.filter((F.col("place") <= length) & (F.col("holders") > 1)).select(*members.columns, "key")
+
+
+def _remaining_pairs(placed: DataFrame, sets: DataFrame, percent: int, few: int) -> DataFrame:
+    """All plausible pairs of different components that meet in an open bucket."""
+    near = _minor_pairs(placed.filter(F.col("minors") <= few), percent)
+    crowded = stored(
+        placed.filter(F.col("minors") > few).select("id", "component", "n_shingles", "bits").distinct(), "minhash-crowded"
+    )
+    if crowded.isEmpty():
+        return near
+    own = keep_ids(sets, stored(crowded.select("id"), "minhash-crowded-ids"), "id")
+    prefixes = stored(_with_minors(_prefixes(crowded, own, percent)), "minhash-prefixes")
+    return near.union(_minor_pairs(prefixes, percent)).distinct()
 
 
 def near_duplicates(
@@ -220,14 +275,15 @@ def near_duplicates(
     text_col: str = "text",
     percent: int = 85,
     shingle_words: int = SHINGLE_WORDS,
-    tile: int = TILE,
+    pivots: Sequence[int] = PIVOTS,
+    few: int = FEW,
 ) -> DataFrame:
     """One row per document: id, n_shingles, component_id, kept, class_id.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their shingle sets (words between
     ASCII white space, A-Z lower-cased; fewer words than a shingle are one shingle). The component is
     the smallest id reachable, and the document with that id is kept; ``class_id`` is the smallest id with the
-    same set. The bands are laid out for ``percent``.
+    same set. The bands are laid out for ``percent``; ``pivots`` and ``few`` change the work, not the result.
 
     A document without words (null, empty, white space) has an empty set and is its own component.
     Repeated rows are returned each. Rows without an id are linked like others but stand for nothing: their
@@ -274,18 +330,22 @@ def near_duplicates(
     links = stored(_confirmed(first_pairs, sets, percent), "minhash-links")
     merged = stored(components(links), "minhash-merged")
 
-    open_members = _open_members(shared, merged)
-    open_members = stored(open_members, "minhash-open")
-    more = stored(
-        _cross_pairs(open_members.join(sketches, "id"), percent, tile), "minhash-cross-pairs"
-    )
-    more_links = stored(_confirmed(more, sets, percent), "minhash-cross-links")
-    if more_links.isEmpty():
-        final = merged
-    else:
-        final = components(links.unionByName(more_links))
-
-    joined = classes.join(final.withColumnRenamed("id", "node"), F.col("class_id") == F.col("node"), "left")
+    placed = None
+    for number in (*pivots, None):
+        if placed is None:
+            placed = stored(_with_minors(_open_members(shared, merged).join(sketches, "id")), "minhash-open")
+        if number is None:
+            more = _remaining_pairs(placed, sets, percent, few)
+        elif (large := placed.filter(F.col("all") > few)).isEmpty():
+            continue
+        else:
+            more = _pivot_pairs(large, number, percent)
+        more_links = stored(_confirmed(stored(more, "minhash-pairs"), sets, percent), "minhash-links")
+        if not more_links.isEmpty():
+            links, placed = links.unionByName(more_links), None
+            merged = stored(components(links), "minhash-merged")
+
+    joined = classes.join(merged.withColumnRenamed("id", "node"), F.col("class_id") == F.col("node"), "left")
     groups = joined.select(
         F.col("set_digest").alias("group_digest"),
         "class_id",

@@ -59,8 +59,8 @@ def test_given_documents_equal_brute_force(spark):
     assert {r["doc_id"] for r in result.filter("kept").collect()} == {c for _, c in expected.values()}
 
 
-@pytest.mark.parametrize("tile", [2, 256])
-def test_chains_and_hubs_whose_members_are_not_all_alike(frame, tile):
+@pytest.mark.parametrize(("pivots", "few"), [((4, 16, 64), 64), ((), 64), ((2,), 0), ((), 0)])
+def test_chains_and_hubs_whose_members_are_not_all_alike(frame, pivots, few):
     rng = random.Random(5)
     base = [f"w{i}" for i in range(200)]
     rows, words = [], list(base)
@@ -76,7 +76,7 @@ def test_chains_and_hubs_whose_members_are_not_all_alike(frame, tile):
         copy[rng.randrange(150)] = f"y{i}"
         rows.append((20 + i if i < 15 else 300 + i, " ".join(copy)))
     rng.shuffle(rows)
-    df = minhash.near_duplicates(frame(rows, SCHEMA), tile=tile)
+    df = minhash.near_duplicates(frame(rows, SCHEMA), pivots=pivots, few=few)
     assert found(df) == brute_force(rows)
 
 
