@@ -82,7 +82,17 @@ def keep_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFra
     return docs.join(ids, docs[id_col] == ids["_id"], "left_semi")
 
 
-def drop_ids(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Rows whose id is not among ``ids`` (a stored table); rows without an id stay."""
-    ids = _narrow(ids, id_col)
-    return docs.join(ids, docs[id_col] == ids["_id"], "left_anti")
+def matched_rows(docs: DataFrame, keys: DataFrame, marks: dict[str, Column], how: str, id_col: str = "doc_id") -> DataFrame:
+    """Rows that are (``left_semi``) or are not (``left_anti``) among ``keys``, a stored table, by id and marks.
+
+    ``marks`` has an expression over ``docs`` for every other column of ``keys``, so that rows which share an
+    id are told apart by their text. A row without an id is never among the keys. Few keys are broadcast,
+    more are shuffled.
+    """
+    given = keys.select(*(F.col(c).alias(f"_key_{c}") for c in [id_col, *marks])).filter(F.col(f"_key_{id_col}").isNotNull())
+    if given.count() <= BROADCAST_IDS:
+        given = F.broadcast(given)
+    same = docs[id_col] == given[f"_key_{id_col}"]
+    for name, mark in marks.items():
+        same = same & mark.eqNullSafe(given[f"_key_{name}"])
+    return docs.join(given, same, how)

@@ -114,7 +114,7 @@ def parity_bits(shingles: np.ndarray) -> np.ndarray:
 
 
 SIGNATURE_SCHEMA = (
-    "id bigint, n_shingles bigint, set_digest binary, bands array<bigint>, bits array<bigint>"
+    "id bigint, text_hash bigint, n_shingles bigint, set_digest binary, bands array<bigint>, bits array<bigint>"
 )
 
 
@@ -137,12 +137,13 @@ def _signatures(words: int, size: int):
             yield pa.record_batch(
                 [
                     batch["id"],
+                    batch["text_hash"],
                     pa.array(sizes, pa.int64()),
                     pa.array(digests, pa.binary()),
                     pa.array(bands, pa.list_(pa.int64())),
                     pa.array(bits, pa.list_(pa.int64())),
                 ],
-                names=["id", "n_shingles", "set_digest", "bands", "bits"],
+                names=["id", "text_hash", "n_shingles", "set_digest", "bands", "bits"],
             )
 
     return run
@@ -166,6 +167,7 @@ def _columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).cast("bigint").alias("id"),
         F.col(text_col).cast("string").cast("binary").alias("text"),
+        F.xxhash64(F.col(text_col).cast("string")).alias("text_hash"),
     )
 
 
@@ -278,12 +280,12 @@ def near_duplicates(
     pivots: Sequence[int] = PIVOTS,
     few: int = FEW,
 ) -> DataFrame:
-    """One row per document: id, n_shingles, component_id, kept, class_id.
+    """One row per document: id, n_shingles, component_id, kept, class_id, text_hash.
 
     Documents are linked when 100 * intersection >= ``percent`` * union of their shingle sets (words between
     ASCII white space, A-Z lower-cased; fewer words than a shingle are one shingle). The component is
     the smallest id reachable, and the document with that id is kept; ``class_id`` is the smallest id with the
-    same set. The bands are laid out for ``percent``; ``pivots`` and ``few`` change the work, not the result.
+    same set; ``text_hash`` (xxhash64 of the text) tells rows apart that share an id. The bands are laid out for ``percent``; ``pivots`` and ``few`` change the work, not the result.
 
     A document without words (null, empty, white space) has an empty set and is its own component.
     Repeated rows are returned each. Rows without an id are linked like others but stand for nothing: their
@@ -351,7 +353,7 @@ def near_duplicates(
         "class_id",
         F.coalesce("component", "class_id").alias("group_component"),
     )
-    found = signed.select("id", "n_shingles", "set_digest").join(
+    found = signed.select("id", "text_hash", "n_shingles", "set_digest").join(
         groups, F.col("set_digest") == F.col("group_digest"), "left"
     )
     component = F.when(F.col("set_digest").isNull(), F.col("id")).otherwise(F.col("group_component"))
@@ -361,6 +363,7 @@ def near_duplicates(
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"),
         F.when(F.col("set_digest").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+        "text_hash",
     )
 
 

@@ -53,7 +53,7 @@ def test_stages_keep_columns_and_take_odd_tables(spark, frame):
             out = stage(spark, docs, sf)
             assert out.columns == docs.columns
             docs = spark.createDataFrame(out.collect(), schema)
-        left = sorted((r["doc_id"] or 0) for r in docs.collect())
+        left = sorted((r["doc_id"] or 0) for r in docs.collect())  # 1 to 3 have no letter
         assert left == ([0, 5] if rows else [])
         assert corpus_pipeline.STAGES[-1][1](spark, docs, sf).count() == len(left)
 
@@ -66,3 +66,34 @@ def test_near_duplicate_stage_links_from_080_on(spark):
     assert roots != brute_force(rows, percent=85)
     kept = {r["doc_id"] for r in corpus_pipeline.near_dedup(spark, docs, sf).collect()}
     assert kept == {i for i, (_, root) in roots.items() if root == i}
+
+
+def test_rows_are_dropped_by_their_text_and_repeated_rows_become_one(spark):
+    sf = "/root/testdata/sf0.001"
+    schema = "doc_id bigint, text string, lang string"
+    long = " ".join(f"word{i}" for i in range(60))
+    rows = [
+        (1, "clean text", "en"), (1, "dup text", "en"), (5, "dup text", "en"),
+        (7, "same row", "en"), (7, "same row", "en"), (7, "same row", "en"),
+        (8, long, "en"), (9, "a text of nine", "en"), (9, "another text of nine", "en"), (10, long + " more", "en"),
+    ]
+    docs = spark.createDataFrame(rows, schema)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, sf).collect(), schema)
+    assert sorted((r["doc_id"], r["text"]) for r in docs.collect()) == [
+        (1, "clean text"), (5, "dup text"), (7, "same row"), (8, long), (9, "a text of nine"), (9, "another text of nine"),
+    ]
+
+
+def test_a_text_is_judged_alike_whatever_else_is_in_the_table(spark):
+    sf, schema = "/root/testdata/sf0.001", "doc_id bigint, text string, lang string"
+    odd = [(1, None, None), (2, "12 34", None), (3, "", None), (4, "a letter", None)]
+    for others in ([], [(5, "some words of a language", "en")]):
+        left = corpus_pipeline.language_id(spark, spark.createDataFrame(odd + others, schema), sf).collect()
+        assert {r["doc_id"] for r in left if r["doc_id"] < 5} == {4}
+
+
+def test_only_texts_like_no_language_are_rejected_by_score(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    kept = corpus_pipeline.language_id(spark, docs, "/root/testdata/sf0.01")
+    assert kept.count() == docs.filter("text rlike '\\\\p{L}'").count()
