@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tarmac.model import FLIGHT_KEY
+from tarmac.operators.lookup import fits_broadcast
 from tarmac.session import scratch_path
 
 LOAD_TIME = "load_timestamp"
 
+# Filings of one flight that one task numbers at most.
+CROWD = 1_000_000
 # Most copies of one row that a single output row is expanded into at a time.
 _COPY_CHUNK = 100_000
 
@@ -95,26 +98,62 @@ def dedup_report(df: DataFrame, key: Sequence[str] = FLIGHT_KEY) -> DataFrame:
 
 def superseded_filings(df: DataFrame, **options) -> DataFrame:
     """Every filing but the latest of its flight, with its number (2, 3, ...)."""
-    return numbered_filings(df, **options).filter("row_num > 1")
+    return _refiled_numbered(df, **options)[0].filter("row_num > 1")
 
 
-def numbered_filings(
+def numbered_filings(df: DataFrame, **options) -> DataFrame:
+    """All rows with ``row_num``: 1 for the latest filing of a flight, then 2, 3, ...
+
+    Filings per flight are counted first, from the key columns alone, which combines before the shuffle. A flight
+    that was filed once has number 1 where it lies. Only rows of the others are shuffled, once, and numbered by a
+    window; flights with more than ``crowd`` filings are numbered in slices.
+    """
+    refiled, single = _refiled_numbered(df, **options)
+    return refiled.unionByName(single.withColumn("row_num", F.lit(1).cast("bigint")))
+
+
+def _refiled_numbered(
     df: DataFrame,
     key: Sequence[str] = FLIGHT_KEY,
     load_time: str = LOAD_TIME,
     tie_break: Sequence[str] | None = None,
     slices: int | None = None,
+    crowd: int = CROWD,
+) -> tuple[DataFrame, DataFrame]:
+    """The numbered rows of flights that were filed several times, and the rows of the others."""
+    names = [f"_k{n}" for n in range(len(key))]
+    counts = df.groupBy(*key).agg(F.count("*").alias("_n")).filter("_n > 1")
+    counts = _kept_apart(counts.toDF(*names, "_n"), "refiled")
+    few = counts.filter(F.col("_n") <= crowd)
+    many = counts.filter(F.col("_n") > crowd)
+    order = filing_order(df, key, load_time, tie_break)
+    numbered = _number(_of_flights(df, few, key, "left_semi"), key, order)
+    numbered = numbered.withColumn("row_num", F.col("row_num").cast("bigint"))
+    if not many.isEmpty():
+        crowded = _of_flights(df, many, key, "left_semi")
+        numbered = numbered.unionByName(_numbered_in_slices(crowded, key, order, slices))
+    return numbered, _of_flights(df, counts, key, "left_anti")
+
+
+def _of_flights(df: DataFrame, flights: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """The rows whose key is among the flights, or not; few flights are broadcast, after a check."""
+    same = [F.col(c).eqNullSafe(F.col(f"_k{n}")) for n, c in enumerate(key)]
+    flights = flights.drop("_n")
+    return df.join(F.broadcast(flights) if fits_broadcast(flights) else flights, same, how)
+
+
+def _numbered_in_slices(
+    df: DataFrame, key: Sequence[str], order: list[Column], slices: int | None = None
 ) -> DataFrame:
-    """All rows with ``row_num``: 1 for the latest filing of a flight, then 2, 3, ...
+    """The numbers of all filings, for flights of any size.
 
-    One form for flights of any size. Equal rows are counted together, which reads
+    Equal rows are counted together, which reads
     the input once and stores it. A range partitioning by flight and filing order
     cuts the rows into slices (``slices``, by default the session's shuffle
     partitions), a flight with many filings into several. A row's number is its
     place in its slice, plus the sizes of the flight's earlier slices. The slices
     are stored too, because range bounds are sampled: every use must see the same.
     """
-    order = filing_order(df, key, load_time, tie_break)
     counted = _kept_apart(df.groupBy(*df.columns).agg(F.count("*").alias("_copies")), "filings")
     ranges = [*key, *order]
     cut = counted.repartitionByRange(slices, *ranges) if slices else counted.repartitionByRange(*ranges)

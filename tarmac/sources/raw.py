@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import contextlib
 import csv
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from types import MappingProxyType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -106,11 +107,15 @@ def required_columns(raw: DataFrame) -> DataFrame:
 
 
 def write_landing(
-    flights: DataFrame, root: str, day: str = "FlightDate", mode: str = "error"
+    flights: DataFrame,
+    root: str,
+    day: str = "FlightDate",
+    mode: str = "error",
+    names: Mapping[str, str] = MappingProxyType({}),
 ) -> None:
     """Flights as raw CSV below ``root/year=YYYY/month=M/``, foldered by the date in ``day``.
 
-    Fields the input lacks are written empty, and each line ends with a comma. ``Year`` and ``year`` are
+    ``names`` gives fields another name in the header. Fields the input lacks are written empty, and each line ends with a comma. ``Year`` and ``year`` are
     a field and a folder, so names are told apart by case while this writes. A month is spread over as
     many tasks as its size asks for (``rebalance``), however large it is.
     """
@@ -130,7 +135,7 @@ def write_landing(
             value = F.col(name)
         else:
             value = derived.get(name, F.lit(None).cast(kind))
-        fields.append(value.alias("" if name == TRAILING_FIELD else name))
+        fields.append(value.alias("" if name == TRAILING_FIELD else names.get(name, name)))
     with _case_sensitive(flights.sparkSession):
         (
             flights.select(*fields, F.year(day).alias("year"), F.month(day).alias("month"))

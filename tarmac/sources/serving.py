@@ -89,7 +89,7 @@ class ExportReader(source.DataSourceReader):
         dataset = self._dataset()
         whole = next(f for f in dataset.get_fragments() if f.path == partition.file)
         part = whole.subset(row_group_ids=partition.groups)
-        yield from part.to_batches(schema=dataset.schema, columns=self.columns, filter=self._condition())
+        yield from part.to_batches(schema=dataset.schema, columns=self.columns, filter=self._condition(), use_threads=False)
 
 
 class ExportSource(source.DataSource):

@@ -280,6 +280,15 @@ def _silver(select: str, *more: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n" + select
 
 
+def _merged(select: str) -> str:
+    """Flights of which those with a line 1 in 1997 were filed again, later."""
+    merged = f"""merged AS (
+  SELECT {_cols(FLIGHT_KEY)}, cast(year(FlightDate) AS integer) AS year, cast(month(FlightDate) AS integer) AS month,
+         bool_or(l_linenumber = 1 AND year(FlightDate) = 1997) AS again, any_value(us.name) AS name
+  FROM flights LEFT JOIN us ON upper(Origin) = us.iata GROUP BY {_cols(FLIGHT_KEY)})"""
+    return "WITH " + ",\n".join([*_RAW, _AIRPORTS, merged]) + "\n" + select
+
+
 def _placed(select: str, *more: str) -> str:
     parts = [*_RAW, _AIRPORTS, _CODED, _PLACED, *more]
     return "WITH " + ",\n".join(parts) + "\n" + select
@@ -524,6 +533,59 @@ _ORACLES = {
               GROUP BY {_cols(FLIGHT_KEY)})
         GROUP BY ALL"""
     ),
+    "incremental_ledger_rerun": _flights(
+        f"""SELECT {_MONTH}, count(*) AS flights, cast(1 AS bigint) AS loads,
+        strftime(min(FlightDate), '%Y-%m-%d') AS first_day, strftime(max(FlightDate), '%Y-%m-%d') AS last_day
+        FROM flights GROUP BY ALL"""
+    ),
+    "incremental_silver_merge": _merged(
+        """SELECT year, month, count(*) AS flights, count(*) FILTER (again) AS refiled,
+        count(name) AS with_origin FROM merged GROUP BY ALL"""
+    ),
+    "incremental_silver_months": _merged(
+        """SELECT year, month, count(*) FILTER (again) AS refiled FROM merged
+        GROUP BY ALL HAVING count(*) FILTER (again) > 0"""
+    ),
+    "csv_header_rejects": _flights(
+        f"""SELECT {_MONTH},
+        CASE WHEN year(FlightDate) = 1997 AND month(FlightDate) = 6 THEN cast(0 AS bigint) ELSE count(*) END AS flights,
+        CASE WHEN year(FlightDate) = 1997 AND month(FlightDate) = 6
+             THEN 'field 16 is OriginState, not OriginCityName' END AS reason
+        FROM flights GROUP BY year(FlightDate), month(FlightDate)"""
+    ),
+    "bronze_schema_drift": _flights(
+        f"""SELECT {_MONTH}, count(*) AS flights,
+        sum(CASE WHEN l_linenumber <= 2 THEN Distance WHEN l_linenumber <= 4 THEN Distance + 0.5e0 END) AS miles,
+        count(*) FILTER (l_linenumber IN (3, 4)) AS gates FROM flights GROUP BY ALL"""
+    ),
+    "gold_route_from_months": _featured(_ROUTE, _ROUTED),
+    "route_airlines_from_bitmaps": _featured(
+        """SELECT flight_year, route, origin_code, destination_code,
+        count(DISTINCT airline_code) AS number_of_airlines_on_route FROM routed GROUP BY ALL""",
+        _ROUTED,
+    ),
+    "kpi_p95_annual_from_counts": _featured(
+        """SELECT flight_year, airline_code, count(ArrDelay) AS arrivals,
+        quantile_disc(ArrDelay, 0.95) AS arrival_delay FROM featured WHERE ArrDelay IS NOT NULL GROUP BY ALL"""
+    ),
+    "kpi_p95_from_sketches": _featured(
+        """SELECT flight_year, airline_code, count(ArrDelay) AS arrivals, true AS within_bound
+        FROM featured WHERE ArrDelay IS NOT NULL GROUP BY ALL"""
+    ),
+    "silver_interleaved_scan": _featured(
+        """SELECT year, month, airline_code, origin_code, count(*) AS flights, sum(Distance) AS distance
+        FROM featured WHERE origin_code >= 'N20' GROUP BY ALL"""
+    ),
+    "export_query_readback": _featured(
+        f"SELECT * FROM ({_CAUSE_TABLE}) WHERE flight_year >= 1996 AND airline_code >= 'AL05'", _CAUSE
+    ),
+    "gold_published_together": _silver(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS row_count FROM ({select})" for name, _, _, select in _GOLD
+        ),
+        _ROUTED,
+        _CAUSE,
+    ),
     "gold_saved_tables": _silver(
         " UNION ALL ".join(
             _unpivoted(name, keys, measures, select) for name, keys, measures, select in _GOLD
@@ -754,6 +816,8 @@ _ORACLES = {
 }
 _ORACLES["silver_cached_multi_gold"] = _ORACLES["gold_saved_tables"]
 _ORACLES["silver_partitioned_roundtrip"] = _ORACLES["silver_flights"]
+_ORACLES["step_counts_observed"] = _ORACLES["step_row_counts"]
+_ORACLES["vw_airline_scorecard_from_months"] = _ORACLES["vw_airline_scorecard"]
 
 
 def oracle_sql() -> dict[str, str]:

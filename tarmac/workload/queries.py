@@ -21,9 +21,10 @@ from tarmac.functions import (
 from tarmac.model import FLIGHT_COLUMNS, FLIGHT_KEY, NULL_FLAGS, NULL_PROFILE_COLUMNS
 from tarmac.operators import airports as dimension
 from tarmac.operators import completeness, dedup, quality
-from tarmac.plans import bronze, gold, jobs, kpis, silver, views
+from tarmac.operators.counts import StepCounts
+from tarmac.plans import bronze, gold, jobs, kpis, silver, states, views
 from tarmac.session import scratch_path
-from tarmac.sources import catalog, raw, tables
+from tarmac.sources import catalog, ledger, raw, serving, tables
 from tarmac.workload.flights import FILING_ID, SOURCE_KEY, airports, flights
 
 TIE_BREAK = [FILING_ID]
@@ -201,6 +202,18 @@ def silver_clustered_scan(spark, sf):
     )
 
 
+@query
+def silver_interleaved_scan(spark, sf):
+    """A range of origins, of any airline, from a Silver table that is laid out along both."""
+    path = scratch_path(spark, "silver-interleaved")
+    rows = silver_features(spark, sf).withColumns({"year": F.year("FlightDate"), "month": F.month("FlightDate")})
+    tables.write_clustered(rows, path, interleave=True)
+    picked = tables.read_table(spark, path).filter("origin_code >= 'N20'")
+    return picked.groupBy("year", "month", "airline_code", "origin_code").agg(
+        F.count("*").alias("flights"), F.sum("Distance").alias("distance")
+    )
+
+
 @query
 def ingest_missing_months(spark, sf):
     held = completeness.held_months(
@@ -271,6 +284,167 @@ def refiled_latest_wins(spark, sf):
     )
 
 
+# --- incremental loads: ledger, Silver, headers, columns ------------------------
+
+
+def _refiled_year(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """A landing folder with all flights, loaded into Bronze; flights of line 1 of one year are about to be filed again."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "bronze")
+    raw.write_landing(flights(spark, sf, *FLIGHT_COLUMNS), landing)
+    jobs.load_bronze(spark, landing, path)
+    return landing, path
+
+
+def _file_again(spark: SparkSession, sf: str, landing: str, path: str) -> None:
+    rows = flights(spark, sf, *FLIGHT_COLUMNS, "l_linenumber")
+    again = rows.filter("l_linenumber = 1 AND year(FlightDate) = 1997").withColumn("Tail_Number", F.lit("REFILED"))
+    raw.write_landing(again, landing, mode="append")
+    jobs.extend_bronze(spark, landing, path)
+
+
+@query
+def incremental_ledger_rerun(spark, sf):
+    """Years up to 1996 loaded, then the others, then a run with nothing new: what the ledger has per month."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "bronze-ledger")
+    rows = flights(spark, sf, *FLIGHT_COLUMNS)
+    early = F.year("FlightDate") <= 1996
+    raw.write_landing(rows.filter(early), landing)
+    jobs.extend_bronze(spark, landing, path)
+    raw.write_landing(rows.filter(~early), landing, mode="append")
+    for _ in range(2):
+        jobs.extend_bronze(spark, landing, path)
+    held = ledger.entries(spark, path).filter("rows > 0").groupBy("year", "month").agg(
+        F.sum("rows").alias("flights"),
+        F.countDistinct("batch").alias("loads"),
+        F.min("first_day").alias("first_day"),
+        F.max("last_day").alias("last_day"),
+    )
+    return printable(held)
+
+
+@query
+def incremental_silver_merge(spark, sf):
+    """Silver loaded, flights of a year filed again and merged in, then a run with nothing new; per month."""
+    landing, path = _refiled_year(spark, sf)
+    dimension_path, target = scratch_path(spark, "airports"), scratch_path(spark, "silver-merged")
+    tables.write_table(us_airports(spark, sf), dimension_path)
+    jobs.load_silver(spark, path, dimension_path, target)
+    _file_again(spark, sf, landing, path)
+    for _ in range(2):
+        jobs.refresh_silver(spark, path, dimension_path, target)
+    return tables.read_table(spark, target).groupBy("year", "month").agg(
+        F.count("*").alias("flights"),
+        F.count_if(F.col("Tail_Number") == "REFILED").alias("refiled"),
+        F.count("origin_airport_name").alias("with_origin"),
+    )
+
+
+@query
+def incremental_silver_months(spark, sf):
+    """The months a merge has written, and how many of the flights there were filed again."""
+    landing, path = _refiled_year(spark, sf)
+    dimension_path, target = scratch_path(spark, "airports"), scratch_path(spark, "silver-months")
+    tables.write_table(us_airports(spark, sf), dimension_path)
+    jobs.load_silver(spark, path, dimension_path, target)
+    _file_again(spark, sf, landing, path)
+    written = jobs.refresh_silver(spark, path, dimension_path, target)
+    months = tables.in_months(tables.read_table(spark, target), written)
+    return months.groupBy("year", "month").agg(F.count_if(F.col("Tail_Number") == "REFILED").alias("refiled"))
+
+
+@query
+def csv_header_rejects(spark, sf):
+    """One month's file has two fields swapped in its header: rows let in, and reasons, per landing folder."""
+    landing, path = scratch_path(spark, "landing"), scratch_path(spark, "bronze-headers")
+    rows = flights(spark, sf, *FLIGHT_COLUMNS)
+    odd = (F.year("FlightDate") == 1997) & (F.month("FlightDate") == 6)
+    raw.write_landing(rows.filter(~odd), landing)
+    swapped = {"OriginCityName": "OriginState", "OriginState": "OriginCityName"}
+    raw.write_landing(rows.filter(odd), landing, mode="append", names=swapped)
+    jobs.extend_bronze(spark, landing, path)
+    folder = [F.regexp_extract("source_file", f"/{n}=([0-9]+)/", 1).cast("int").alias(n) for n in ("year", "month")]
+    held = tables.read_table(spark, path).groupBy("year", "month").agg(
+        F.count("*").alias("flights"), F.lit(None).cast("string").alias("reason")
+    )
+    bad = ledger.rejected(spark, path).select(*folder, F.lit(0).cast("bigint").alias("flights"), "reason")
+    return held.unionByName(bad.distinct())
+
+
+@query
+def bronze_schema_drift(spark, sf):
+    """Three deliveries: whole distances; distances with decimals and a gate; neither. One table, per month."""
+    path = scratch_path(spark, "bronze-drift")
+    rows = flights(spark, sf, "FlightDate", "Distance", *SOURCE_KEY, "load_timestamp").select(
+        "*", F.year("FlightDate").alias("year"), F.month("FlightDate").alias("month"),
+        F.col("Distance").cast("int").alias("miles"), (F.col("l_orderkey") % 50).cast("string").alias("gate"),
+    )
+    given = ["FlightDate", "load_timestamp", "l_orderkey", "l_linenumber", "year", "month"]
+    parts = {
+        "first": (F.col("l_linenumber") <= 2, [*given, "miles"]),
+        "second": (F.col("l_linenumber").between(3, 4), [*given, (F.col("Distance") + 0.5).alias("miles"), "gate"]),
+        "third": (F.col("l_linenumber") >= 5, given),
+    }
+    for name, (chosen, columns) in parts.items():
+        part = rows.filter(chosen).select(*columns).withColumn("source_file", F.lit(name))
+        ledger.load(part, part.select(*ledger.DELIVERY).distinct(), path, "FlightDate")
+    return tables.read_table(spark, path).groupBy("year", "month").agg(
+        F.count("*").alias("flights"), F.sum("miles").alias("miles"), F.count("gate").alias("gates")
+    )
+
+
+# --- Gold from the states of the months ------------------------------------------
+
+
+def _states(spark: SparkSession, sf: str) -> str:
+    """State tables of Silver, of which one month was stored and refreshed later than the others."""
+    path, root = scratch_path(spark, "silver-states"), scratch_path(spark, "states")
+    rows = silver_features(spark, sf).withColumns({"year": F.year("FlightDate"), "month": F.month("FlightDate")})
+    rows = stored(spark, rows.select(*states.SILVER_COLUMNS), "silver")
+    late = (F.col("year") == 1997) & (F.col("month") == 6)
+    tables.write_partitioned(rows.filter(~late), path)
+    states.refresh(spark, path, root)
+    tables.write_partitioned(rows.filter(late), path, replace="partitions")
+    states.refresh(spark, path, root, months=[(1997, 6)])
+    return root
+
+
+@query
+def gold_route_from_months(spark, sf):
+    return states.gold_route_kpi(spark, _states(spark, sf))
+
+
+@query
+def route_airlines_from_bitmaps(spark, sf):
+    return states.airlines_on_routes(spark, _states(spark, sf))
+
+
+@query
+def vw_airline_scorecard_from_months(spark, sf):
+    return states.airline_scorecard(spark, _states(spark, sf))
+
+
+@query
+def kpi_p95_annual_from_counts(spark, sf):
+    return states.percentile_from_counts(spark, _states(spark, sf), 0.95)
+
+
+@query
+def kpi_p95_from_sketches(spark, sf):
+    """Per airline and year, whether the rank of the sketches' 95th percentile is within the bound."""
+    root = _states(spark, sf)
+    keys = ["flight_year", "airline_code"]
+    found = states.percentile_from_sketches(spark, root, 0.95)
+    counts = tables.read_table(spark, f"{root}/delay_counts").groupBy(*keys, "ArrDelay").agg(F.sum("n").alias("n"))
+    same = [found[c].eqNullSafe(counts[c]) for c in keys]
+    below = F.coalesce(F.sum(F.when(F.col("ArrDelay") < F.col("arrival_delay"), F.col("n"))), F.lit(0))
+    up_to = F.coalesce(F.sum(F.when(F.col("ArrDelay") <= F.col("arrival_delay"), F.col("n"))), F.lit(0))
+    whole, slack = F.sum("n"), F.lit(states.rank_error()) * F.sum("n")
+    joined = found.join(counts, same).select(*(found[c] for c in keys), "arrivals", "arrival_delay", "ArrDelay", "n")
+    return joined.groupBy(*keys, "arrivals").agg(
+        ((below - slack <= 0.95 * whole) & (up_to + slack >= 0.95 * whole)).alias("within_bound")
+    )
+
+
 # --- catalog ------------------------------------------------------------------
 
 
@@ -381,6 +555,28 @@ def export_readback_diff(spark, sf):
     return tables.difference_counts(source, spark.read.parquet(path), "delay_cause_table")
 
 
+@query
+def export_query_readback(spark, sf):
+    """What the exported table answers to a query, through the data source that reads exports."""
+    path = scratch_path(spark, "delay-cause")
+    tables.export_parquet(gold.gold_delay_cause(silver_features(spark, sf)), path)
+    asked = "SELECT * FROM {table} WHERE flight_year >= 1996 AND airline_code >= 'AL05'"
+    return serving.query_export(spark, path, asked)
+
+
+@query
+def gold_published_together(spark, sf):
+    """Rows of the four Gold tables as published in one version, after a second publication of all."""
+    database, root = _new_database(spark), scratch_path(spark, "gold-versions")
+    silver_rows = _stored_silver(spark, sf)
+    for _ in range(2):
+        names = catalog.publish_together(_gold_tables(spark, sf, silver_rows), database, root)
+    counted = [
+        spark.table(n).agg(F.lit(n.split("`")[3]).alias("table_name"), F.count("*").alias("row_count")) for n in names
+    ]
+    return functools.reduce(DataFrame.unionAll, counted)
+
+
 # --- Bronze and data quality --------------------------------------------------
 
 
@@ -621,6 +817,15 @@ def step_row_counts(spark, sf):
     return steps[0].unionAll(steps[1])
 
 
+@query
+def step_counts_observed(spark, sf):
+    """The same counts, taken by the job that writes the joined table while it runs."""
+    counts = StepCounts(active=True)
+    table = silver.silver_flights(bronze_table(spark, sf), us_airports(spark, sf), TIE_BREAK, counts)
+    tables.write_table(table, scratch_path(spark, "silver-observed"))
+    return spark.createDataFrame(counts.rows(), "step string, row_count bigint")
+
+
 def _named(step: str, column: str):
     line = F.struct(F.lit(step).alias("step"), F.col(column).alias("row_count"))
     return line.alias(step)

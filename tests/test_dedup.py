@@ -101,11 +101,13 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("slices", [1, 3, 40])
-def test_numbering_in_slices_equals_the_plain_window(skewed, slices):
+@pytest.mark.parametrize(("slices", "crowd"), [(1, 1), (3, 1), (40, 1), (3, 100), (None, dedup.CROWD)])
+def test_numbering_equals_the_plain_window(skewed, slices, crowd):
     order = dedup.filing_order(skewed)
     plain = dedup._number(skewed, FLIGHT_KEY, order).withColumn("row_num", F.col("row_num").cast("bigint"))
-    assert rows_of(dedup.numbered_filings(skewed, slices=slices)) == rows_of(plain)
+    assert rows_of(dedup.numbered_filings(skewed, slices=slices, crowd=crowd)) == rows_of(plain)
+    superseded = dedup.superseded_filings(skewed, slices=slices, crowd=crowd)
+    assert rows_of(superseded) == rows_of(plain.filter("row_num > 1"))
 
 
 def test_a_flight_with_half_of_the_rows_is_cut_over_tasks(spark, monkeypatch):
@@ -119,17 +121,23 @@ def test_a_flight_with_half_of_the_rows_is_cut_over_tasks(spark, monkeypatch):
     )
     stored, keep = {}, dedup._kept_apart
     monkeypatch.setattr(dedup, "_kept_apart", lambda df, name: stored.setdefault(name, keep(df, name)))
-    numbered = dedup.numbered_filings(hot, slices=10)
+    numbered = dedup.numbered_filings(hot, slices=10, crowd=1)
     assert numbered.agg(F.max("row_num"), F.count("*")).first() == (10_001, 20_000)
+    assert stored["slices"].count() == 10_001, "flights filed once are not cut"
     sizes = [r["count"] for r in stored["slices"].groupBy("_slice").count().collect()]
-    assert len(sizes) == 10 and max(sizes) < 2 * 20_000 / 10
+    assert len(sizes) == 10 and max(sizes) < 2 * 10_001 / 10
     assert dedup._slice_offsets(stored["slices"], FLIGHT_KEY).count() <= 2 * 10
 
 
 def test_copies_are_expanded_in_chunks(skewed, monkeypatch):
-    expected = rows_of(dedup.numbered_filings(skewed))
+    expected = rows_of(dedup.numbered_filings(skewed, crowd=1))
     monkeypatch.setattr(dedup, "_COPY_CHUNK", 7)
-    assert rows_of(dedup.numbered_filings(skewed)) == expected
+    assert rows_of(dedup.numbered_filings(skewed, crowd=1)) == expected
+
+
+def test_superseded_filings_shuffle_full_rows_once(skewed):
+    plan = plan_of(dedup.superseded_filings(skewed))
+    assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" in plan
 
 
 def test_hot_flight_is_cut_down_before_the_shuffle(skewed):

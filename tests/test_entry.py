@@ -20,7 +20,7 @@ def connection():
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
-    assert len(QUERIES) == 87
+    assert len(QUERIES) == 102
     assert set(QUERIES) <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql()) <= set(entry.queries())
 
