@@ -10,8 +10,8 @@ five values (of five permutations) a pair at 0.80 with (1 - 0.8^5)^38, both belo
 1. Documents with one shingle set form a class; its smallest id stands for it from there on.
 2. In every bucket each member is compared with the smallest member only. Links are confirmed on full
    sets, and linked classes merge into components.
-3. Buckets whose members are all in one component are done. In others of more than ``FEW`` members pivot rounds follow: a bucket offers
-   4, 16, then 64 members of different components, and the members of other components are compared with these only; links are
+3. Buckets whose members are all in one component are done. In others of more than ``FEW`` members pivot rounds (``PIVOTS``) follow: a bucket offers
+   16 members of different components, and the members of other components are compared with these only; links are
    confirmed and merged before the next round. So a group of near copies closes after as many comparisons as it has
    members, times the pivots, and no member is copied more often than there are pivots.
 4. What is open then is judged in full. Members outside a bucket's largest component are compared with all of the
@@ -19,7 +19,7 @@ five values (of five permutations) a pair at 0.80 with (1 - 0.8^5)^38, both belo
    threshold share one of the rarest shingles of each, as many as leave fewer than the threshold asks for.
    Per shingle again only members outside its largest component are compared with all.
 
-Only pairs of different components that the sizes, the parities of 512 parts of the shingle space (each odd difference
+Only pairs of different components that the sizes, the parities of 1024 parts of the shingle space (each odd difference
 is at least one shingle that only one set has) and one bit per signature value leave plausible are emitted and confirmed.
 So every pair of different components that meets in a bucket is judged, without pairs inside
 a group that is linked already.
@@ -45,13 +45,13 @@ PERMUTATIONS = 96
 PER_BAND = 6
 MISS = 1e-6
 # Pivots of a bucket in each round, and members outside its largest component that are compared with all of it.
-PIVOTS = (4, 16, 64)
+PIVOTS = (16,)
 FEW = 64
 # A linked pair agrees in 192 * (1 + similarity) / 2 bits on average; this many standard
 # deviations fewer still count as plausible.
 BIT_DEVIATIONS = 6.5
 SKETCH_WORDS = 2 * PERMUTATIONS // 64
-PARITY_WORDS = 8
+PARITY_WORDS = 16
 _STRIDE = 1024
 
 _SEEDS = mix64(np.arange(1, 2 * PERMUTATIONS + 1, dtype=np.uint64))
@@ -108,8 +108,8 @@ def sketch_bits(signature: np.ndarray) -> np.ndarray:
 
 
 def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """Whether each of 512 parts of the shingle space holds an odd number of the set's shingles."""
-    part = (shingles >> np.uint64(55)).astype(np.int64)
+    """Whether each of 1024 parts of the shingle space holds an odd number of the set's shingles."""
+    part = (shingles >> np.uint64(54)).astype(np.int64)
     return np.packbits((np.bincount(part, minlength=64 * PARITY_WORDS) & 1).astype(np.uint8)).view("<i8")
 
 
@@ -344,8 +344,9 @@ def near_duplicates(
             more = _pivot_pairs(large, number, percent)
         more_links = stored(_confirmed(stored(more, "minhash-pairs"), sets, percent), "minhash-links")
         if not more_links.isEmpty():
-            links, placed = links.unionByName(more_links), None
-            merged = stored(components(links), "minhash-merged")
+            # The stars that are known already, and what links them.
+            stars = merged.select(F.col("id").alias("a"), F.col("component").alias("b"))
+            merged, placed = stored(components(stars.unionByName(more_links)), "minhash-merged"), None
 
     joined = classes.join(merged.withColumnRenamed("id", "node"), F.col("class_id") == F.col("node"), "left")
     groups = joined.select(
