@@ -1,17 +1,23 @@
 """Secret scan with a random forest that removes false positives, in DataFrame operations only.
 
 Candidates are words of at least eight characters that are assigned to a secret's name, in the same word or
-by the words before, or look random: 12 characters with a digit, or an issued key's form. Each is described by
-its length, its character transitions, how much of it is dictionary words, whether it is a path or an
+by the words before, carry a password in an address, or look random: 12 characters with a digit, or an issued key's form. Each
+is described by its length, its character transitions (how probable its letters are after each other in the corpus, and
+how often its classes of characters change), how much of it are words that many documents use, whether it is a path or an
 address, and by the words next to it. A random forest learns from labelled findings which candidates are
 secrets. Where none are given, candidates whose form settles the matter label themselves: issued key
-formats and random values assigned to a secret's name on one side, addresses, numbers and words on the other.
+formats, random values assigned to a secret's name and passwords in addresses on one side, other addresses, numbers and
+words on the other.
 
-Only words that can be candidates leave the array of a text's words, so what is shuffled grows with the findings.
+Only words that can be candidates leave the array of a text's words, so what is shuffled grows with the findings. The
+corpus is counted twice: pairs of letters, which are as many as the alphabet allows, and the documents of just those
+words that are part of a candidate.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -39,19 +45,17 @@ ISSUED = (
     "|^eyJ[A-Za-z0-9_-]+\\.[A-Za-z0-9_-]+\\."
 )
 ISSUED_STARTS = "AKIA|ASIA|gh[pousr]_|xox[abpr]-|AIza|eyJ"
-# Words whose presence speaks against a random value.
-DICTIONARY = (
-    "the and for are but not you all any can had her was one our out day get has him his how man new now old see "
-    "two way who its did yes let put say she too use that with have this will your from they know want been good "
-    "much some time very when come here just like long make many more only over such take than them well were "
-    "what mail example com net org http https www html page index test user name admin image images file files "
-    "data list item home news blog content text version release update change password secret token key value "
-    "sample dummy none null true false default string number date year month"
-).split()
+# Fixed value: a user and a password in front of a host.
+CREDENTIALS = "://[^/@:]+:[^/@]+@"
+# A word is in the dictionary when so many documents use it.
+LEAST_DOCUMENTS = 5
+# Words of candidates are broadcast up to this many (some 40 bytes each).
+BROADCAST_WORDS = 500_000
+_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 FEATURES = [
     "n_chars", "digit_share", "upper_share", "lower_share", "other_share", "distinct_share", "transition_share",
-    "longest_letters", "longest_digits", "dictionary_share", "slashes", "dots", "ats", "is_address",
+    "transition_logp", "longest_letters", "longest_digits", "dictionary_share", "slashes", "dots", "ats", "is_address", "credentials",
     "named_inline", "named_before", "assigned", "quoted", "number_before", "before_chars", "after_chars",
 ]
 
@@ -145,22 +149,62 @@ def candidates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         near(1).alias("after"),
     )
     random_form = F.col("value").rlike("[0-9]") & (F.length("value") >= 12)
-    random_form = random_form | F.col("value").rlike(ISSUED)
+    random_form = random_form | F.col("value").rlike(ISSUED) | F.col("value").rlike(CREDENTIALS)
     assigned = _is_name(F.col("name")) | _assigned_before(F.col("word"), F.col("before"), F.col("before2"))
     return found.filter((F.length("value") >= LEAST_LENGTH) & (random_form | assigned))
 
 
-def described(found: DataFrame) -> DataFrame:
-    """Candidates with the numeric columns of ``FEATURES``."""
+def _runs(value: Column) -> Column:
+    """The runs of three letters or more, in lower case."""
+    return F.regexp_extract_all(F.lower(value), F.lit("([a-z]{3,})"))
+
+
+def letter_pairs(docs: DataFrame, text_col: str) -> dict[str, float]:
+    """The log probability of each letter after another, over the words of all texts, each word once per text."""
+    words = docs.select(F.explode(F.array_distinct(_runs(F.col(text_col).cast("string")))).alias("word"))
+    places = F.sequence(F.lit(1), F.length("word") - 1)
+    pairs = words.select(F.explode(F.transform(places, lambda i: F.substring(F.col("word"), i, F.lit(2)))).alias("pair"))
+    counts = {r["pair"]: r["n"] for r in pairs.groupBy("pair").agg(F.count("*").alias("n")).collect()}  # 676 at most
+    first = {a: sum(counts.get(a + b, 0) for b in _LETTERS) for a in _LETTERS}
+    return {a + b: math.log((counts.get(a + b, 0) + 1) / (first[a] + 26)) for a in _LETTERS for b in _LETTERS}
+
+
+def known_words(docs: DataFrame, found: DataFrame, text_col: str) -> DataFrame:
+    """(known): the words of candidates that at least ``LEAST_DOCUMENTS`` documents use."""
+    asked = stored(found.select(F.explode(_runs(F.col("value"))).alias("known")).distinct(), "secrets-words")
+    words = docs.select(F.explode(F.array_distinct(_runs(F.col(text_col).cast("string")))).alias("word"))
+    small = F.broadcast(asked) if asked.count() <= BROADCAST_WORDS else asked
+    used = words.join(small, F.col("word") == F.col("known"), "left_semi").groupBy("word").agg(F.count("*").alias("n"))
+    return stored(used.filter(F.col("n") >= LEAST_DOCUMENTS).select(F.col("word").alias("known")), "secrets-known")
+
+
+def _with_known(found: DataFrame, known: DataFrame) -> DataFrame:
+    """Candidates with ``known_chars``, the letters in words of the dictionary."""
+    found = found.withColumn("_row", F.monotonically_increasing_id())
+    found = stored(found, "secrets-rows")
+    words = found.select("_row", F.explode(_runs(F.col("value"))).alias("word"))
+    small = F.broadcast(known) if known.count() <= BROADCAST_WORDS else known
+    chars = words.join(small, F.col("word") == F.col("known"), "left_semi").groupBy("_row").agg(
+        F.sum(F.length("word")).alias("known_chars")
+    )
+    joined = found.join(chars, "_row", "left")
+    return joined.withColumn("known_chars", F.coalesce("known_chars", F.lit(0))).drop("_row")
+
+
+def described(found: DataFrame, pairs: dict[str, float]) -> DataFrame:
+    """Candidates (with ``known_chars``) with the numeric columns of ``FEATURES``."""
     value = F.col("value")
     classes = F.regexp_replace(
         F.regexp_replace(F.regexp_replace(value, "[a-z]", "a"), "[A-Z]", "A"), "[0-9]", "9"
     )
     collapsed = F.regexp_replace(classes, "(.)\\1+", "$1")
-    letters = F.regexp_extract_all(F.lower(value), F.lit("([a-z]{3,})"))
-    known = F.aggregate(
-        F.filter(letters, lambda w: w.isin(*DICTIONARY)), F.lit(0), lambda a, w: a + F.length(w)
+    table = F.create_map(*(x for pair, p in pairs.items() for x in (F.lit(pair), F.lit(p))))
+    runs = F.transform(
+        F.regexp_extract_all(F.lower(value), F.lit("([a-z]{2,})")),
+        lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 1), lambda i: F.element_at(table, F.substring(w, i, F.lit(2)))),
     )
+    told = F.flatten(runs)
+    mean = F.aggregate(told, F.lit(0.0), lambda a, p: a + p) / F.size(told)
     numeric = {
         "n_chars": F.length(value),
         "digit_share": _share(value, "0-9"),
@@ -171,11 +215,13 @@ def described(found: DataFrame) -> DataFrame:
         "transition_share": (F.length(collapsed) - 1) / F.length(value),
         "longest_letters": _longest(value, "[A-Za-z]+"),
         "longest_digits": _longest(value, "[0-9]+"),
-        "dictionary_share": known / F.length(value),
+        "transition_logp": F.when(F.size(told) > 0, mean).otherwise(-math.log(26)),
+        "dictionary_share": F.col("known_chars") / F.length(value),
         "slashes": F.length(F.regexp_replace(value, "[^/\\\\\\\\]", "")),
         "dots": F.length(F.regexp_replace(value, "[^.]", "")),
         "ats": F.length(F.regexp_replace(value, "[^@]", "")),
         "is_address": value.rlike("(?i)://|^www\\.|\\.(com|net|org|html?)$"),
+        "credentials": value.rlike(CREDENTIALS),
         "named_inline": _is_name(F.col("name")),
         "named_before": _is_name(F.col("before")) | _is_name(F.col("before2")),
         "assigned": (F.col("name") != "") | F.col("before").rlike("[=:]>?$") | F.col("word").rlike("^[=:]"),
@@ -193,12 +239,19 @@ def own_label() -> Column:
     issued = value.rlike(ISSUED)
     random = value.rlike("^[0-9a-f]{16,}$|^[0-9A-Za-z+/_-]{20,}=*$") & value.rlike("[0-9]") & value.rlike("[A-Za-z]")
     named = (F.col("named_inline") + F.col("named_before")) > 0
+    credentials = value.rlike(CREDENTIALS)
     harmless = (
-        value.rlike("^[^@]+@[^@]+\\.[a-z]+$|^[0-9.:/,+() -]+$|://|^www\\.")
+        (value.rlike("^[^@]+@[^@]+\\.[a-z]+$|^[0-9.:/,+() -]+$|://|^www\\.") & ~credentials)
         | value.rlike("^v?[0-9]+(\\.[0-9]+)+|^[0-9]{4}-[0-9]{2}-[0-9]{2}")
         | value.rlike("(?i)^(example|sample|dummy|changeme|your)|x{4,}|\\*{3,}")
     )
-    return F.when(issued | (random & named & ~harmless), 1).when(harmless, 0)
+    return F.when(issued | ((credentials | (random & named)) & ~harmless), 1).when(harmless, 0)
+
+
+def by_form() -> Column:
+    """The score of a candidate where there is nothing to learn from: its own label, else whether it is assigned to a name."""
+    named = (F.col("named_inline") + F.col("named_before")) > 0
+    return F.coalesce(own_label(), F.when(named, 1).otherwise(0)).cast("double")
 
 
 def train(found: DataFrame, sample: int = SAMPLE_FINDINGS, seed: int = 7):
@@ -240,16 +293,20 @@ def scan(
     labelled: DataFrame | None = None,
     sample: int = SAMPLE_FINDINGS,
 ) -> DataFrame:
-    """(id, word_pos, name, masked, value_sha256, n_chars, score, is_secret) for every candidate.
+    """(id, word_pos, name, masked, n_chars, score, is_secret) for every candidate.
 
-    ``word_pos`` counts words between ASCII white space from 0; ``masked`` shows the first four characters. The score is
+    ``word_pos`` counts words between ASCII white space from 0: it tells where the value is, of which nothing else is given away
+    but its length and, of 20 characters or more, the first four (``masked``). The score is
     the forest's share for a secret, ``is_secret`` from 0.5 on. ``labelled`` holds (id, word_pos, label) of
     known findings in these documents; without it, rows not held out (crc32 of the id modulo 5 is not 0)
-    label themselves by form. If not both labels occur, no candidate can be told false: all score 1.
+    label themselves by form. If not both labels occur, every candidate is scored by its own form (``by_form``).
 
-    Null and empty texts have no candidates. Repeated rows report their candidates each. Other columns are ignored.
+    Null and empty texts have no candidates. Repeated rows report their candidates each, rows without an id too. Texts of any
+    length are scanned whole. An empty table gives none. Other columns are ignored.
     """
-    found = stored(described(candidates(docs, id_col, text_col)), "secrets-candidates")
+    found = stored(candidates(docs, id_col, text_col), "secrets-found")
+    found = _with_known(found, known_words(docs, found, text_col))
+    found = stored(described(found, letter_pairs(docs, text_col)), "secrets-candidates")
     if labelled is None:
         known = found.filter(~held_out("id", 5, 0)).withColumn("label", own_label())
         known = known.filter("label is not null")
@@ -261,7 +318,7 @@ def scan(
         known = found.join(facts, same).drop("known_id", "known_pos")
     model = train(known, sample)
     if model is None:
-        scored = found.withColumn("score", F.lit(1.0))
+        scored = found.withColumn("score", by_form())
     else:
         scored = model.transform(_assembled(found)).withColumn(
             "score", vector_to_array("probability")[1]
@@ -270,8 +327,7 @@ def scan(
         F.col("id").alias(id_col),
         "word_pos",
         "name",
-        F.concat(F.substring("value", 1, 4), F.lit("...")).alias("masked"),
-        F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
+        F.concat(F.when(F.col("n_chars") >= 20, F.substring("value", 1, 4)).otherwise(F.lit("")), F.lit("...")).alias("masked"),
         F.col("n_chars").cast("int").alias("n_chars"),
         F.round("score", 6).alias("score"),
         (F.round("score", 6) >= 0.5).alias("is_secret"),

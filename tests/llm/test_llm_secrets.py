@@ -1,7 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
 import re
+from collections import Counter
+
+import pytest
 
 from tarmac.llm import queries, secrets
 
@@ -61,7 +65,7 @@ def test_nulls_empty_repeated_and_long_texts(frame, spark):
     ]
     df = secrets.scan(frame(rows, "doc_id bigint, text string, value string"))
     got = sorted((r["doc_id"] or 0, r["word_pos"], r["name"], r["score"]) for r in df.collect())
-    assert got == [(0, 2, "", 1.0), (3, 0, "password", 1.0), (3, 0, "password", 1.0), (5, 50_000, "", 1.0)]
+    assert got == [(0, 2, "", 1.0), (3, 0, "password", 1.0), (3, 0, "password", 1.0), (5, 50_000, "", 0.0)]
     assert secrets.scan(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
@@ -90,3 +94,52 @@ def test_the_forest_judges_words_without_digits(frame):
     labels = frame([(i, 1, int(i % 3 == 0)) for i, _ in rows], "doc_id bigint, word_pos int, label int")
     got = {r["doc_id"]: r["is_secret"] for r in secrets.scan(frame(rows, SCHEMA), labelled=labels).collect()}
     assert got == {i: i % 3 == 0 for i, _ in rows}
+
+
+def test_features_from_the_corpus_equal_a_plain_version(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = [r["text"] or "" for r in docs.select("text").collect()]
+    lower = [re.sub("[A-Z]", lambda m: m[0].lower(), t) for t in texts]
+    held = [set(re.findall("[a-z]{3,}", t)) for t in lower]
+    pairs, used = Counter(), Counter()
+    for words in held:
+        used.update(words)
+        for w in words:
+            pairs.update(w[i : i + 2] for i in range(len(w) - 1))
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    first = {a: sum(pairs[a + b] for b in letters) for a in letters}
+    logp = {a + b: math.log((pairs[a + b] + 1) / (first[a] + 26)) for a in letters for b in letters}
+    assert secrets.letter_pairs(docs, "text") == pytest.approx(logp)
+    found = secrets.candidates(docs, "doc_id", "text")
+    found = secrets._with_known(found, secrets.known_words(docs, found, "text"))
+    rows = secrets.described(found, logp).collect()
+    assert len(rows) > 50
+    for r in rows:
+        value = re.sub("[A-Z]", lambda m: m[0].lower(), r["value"])
+        known = sum(len(w) for w in re.findall("[a-z]{3,}", value) if used[w] >= secrets.LEAST_DOCUMENTS)
+        assert r["dictionary_share"] == pytest.approx(known / len(value))
+        told = [logp[w[i : i + 2]] for w in re.findall("[a-z]{2,}", value) for i in range(len(w) - 1)]
+        assert r["transition_logp"] == pytest.approx(sum(told) / len(told) if told else -math.log(26))
+
+
+def test_passwords_in_addresses_are_secrets_and_plain_addresses_are_not(frame):
+    rows = texts(300)
+    more = [
+        (1000, "use postgres://admin:hunter2abcXYZ99@db.example.com:5432/prod now", 1), (1001, "https://bob:Zx81kQpL0vTr@git.example.com/r.git", 1),
+        (1002, "see https://git.example.com/bob/r1234567.git", 0),
+    ]
+    found = secrets.scan(frame([r[:2] for r in rows + more], SCHEMA)).collect()
+    assert {r["doc_id"]: r["is_secret"] for r in found if r["doc_id"] >= 1000} == {i: bool(label) for i, _, label in more}
+    assert all("hunter" not in str(r.asDict()) for r in found)
+
+
+def test_a_text_alone_is_judged_by_form(frame):
+    harmless = "order 4711-0815-2342-9999 at 2024-01-01T10:00:00 by bob.12@mail.example.com"
+    assert not any(r["is_secret"] for r in secrets.scan(frame([(1, harmless)], SCHEMA)).collect())
+    alone = secrets.scan(frame([(1, "password=0a1b2c3d4e5f60718293 and postgres://a:bcdefgh@h/x")], SCHEMA)).collect()
+    assert [r["is_secret"] for r in alone] == [True, True]
+
+
+def test_no_value_can_be_told_from_the_result(frame):
+    found = secrets.scan(frame([(1, "password=abcd1234 token=0123456789abcdef0123456789abcdef")], SCHEMA)).collect()
+    assert {r["masked"] for r in found} == {"...", "0123..."} and "value_sha256" not in found[0].asDict()
