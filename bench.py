@@ -28,6 +28,8 @@ HEADLINE = [
     "bronze_partitioned_roundtrip",
     "incremental_batch_rerun",
     "incremental_late_file",
+    "incremental_silver_merge",
+    "gold_route_from_months",
     "cancelled_by_year_month",
     "gold_airline_kpi",
     "gold_route_kpi",
