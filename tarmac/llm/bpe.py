@@ -40,8 +40,8 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 # Words of the lexicon, the most frequent of all documents; bounds the file (a few MB).
 LEXICON_WORDS = 50_000
 LEXICON_WORD_BYTES = 32
-WORDS_HELD = 200_000
-_TEXTS_AT_ONCE = 256
+WORDS_HELD = 60_000
+_TEXTS_AT_ONCE = 64
 _LONG = 48
 
 
