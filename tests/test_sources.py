@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
+import gzip
 import json
 import os
 
@@ -305,3 +307,27 @@ def test_a_month_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
     files = [f for f in os.listdir(f"{path}/year=2021/month=1") if f.endswith(".parquet")]
     assert len(files) > 3
     assert tables.read_table(spark, path).count() == 200_000
+
+
+def test_landing_files_are_small_and_their_headers_are_read(spark, make_flights, tmp_path):
+    root = str(tmp_path / "landing")
+    raw.write_landing(make_flights(*({"Flight_Number_Reporting_Airline": n} for n in range(500))), root)
+    paths = glob.glob(f"{root}/*/*/*.csv*")
+    assert raw.header_problems(spark, paths) == [None] * len(paths)
+    lines = [line for path in paths for line in gzip.open(path, "rt")]
+    assert len(lines) == 500 + len(paths)
+    assert sum(map(os.path.getsize, paths)) * 4 < sum(map(len, lines))
+
+
+def test_empty_landing_fields_are_not_shuffled(spark, make_flights, tmp_path, monkeypatch):
+    widths = []
+    rows = make_flights({})
+    hint = type(rows).hint
+
+    def noted(df, name, *parameters):
+        widths.append(len(df.columns))
+        return hint(df, name, *parameters)
+
+    monkeypatch.setattr(type(rows), "hint", noted)
+    raw.write_landing(rows, str(tmp_path / "landing"))
+    assert widths and max(widths) <= len(FLIGHT_COLUMNS) + 3
