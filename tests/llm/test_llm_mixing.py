@@ -200,3 +200,34 @@ def test_nulls_empty_repeated_extra_columns_and_nothing_to_learn(frame, spark):
     assert all(r["train_tokens"] == 0 and r["n_known"] == 0 and abs(r["base_score"]) < 1e-12 for r in even)
     assert math.isclose({r["doc_id"]: r["score"] for r in even}[2], -8 * math.log10(2), rel_tol=1e-6)
     assert mixing.score(spark.createDataFrame([], SCHEMA), F.lit(True)).collect() == []
+
+
+def test_first_weights_are_learned_on_all_training_texts(spark):
+    long = "alpha beta gamma delta " * 500
+    rows = [(long + chr(97 + n) * 40,) for n in range(6)] + [(f"short {n} text",) for n in range(400)]
+    docs = spark.createDataFrame(rows, "text string")
+    model = mixing.train(docs)
+    counts = mixing.Counts(model.tree, model.bits)
+    for (text,) in rows:
+        counts.add(text.encode())
+    flat = np.concatenate(counts.parts())
+    sizes = [2 << b for b in mixing.table_bits(model.bits)]
+    tables = [t.reshape(-1, 2).astype(np.float64) for t in np.split(flat, np.cumsum(sizes)[:-1])]
+    weights, gradient, cases = model.weights.astype(np.float64), np.zeros(6), 0
+    for (text,) in rows:
+        found = mixing.Decisions(mixing.segments(text.encode()), model.tree, model.bits)
+        logits = []
+        for table, slots in zip(tables, found.slots()):
+            left = table.copy()
+            np.add.at(left, (slots, found.bit), -1.0)
+            logits.append(mixing.stretched(left[slots, 0], left[slots, 1]))
+        x = mixing.gated(logits).astype(np.float64)
+        side = 2.0 * found.bit - 1
+        gradient += x @ (side / (1 + np.exp(np.clip(side * (weights @ x), -30, 30))))
+        cases += len(side)
+    assert np.abs(gradient).max() < 1e-3 * cases
+
+
+def test_long_texts_teach_the_first_weights(spark):
+    long = spark.createDataFrame([("alpha beta gamma " * 700 + str(n),) for n in range(5)], "text string")
+    assert not np.allclose(mixing.train(long).weights, [0.4] * 3 + [0.0] * 3, atol=1e-3)
