@@ -240,3 +240,16 @@ def test_deliveries_with_other_columns_read_back_as_one_table(spark, tmp_path):
     with pytest.raises(drift.SchemaConflict):
         ledger.load(*delivery("d", [(1,)], "n int"), path, "FlightDate")
     assert ledger.entries(spark, path).count() == 3 and tables.read_table(spark, path).count() == 3
+
+
+def test_large_files_are_loaded_where_they_are_read(spark, lake, tmp_path, monkeypatch):
+    root, paths = lake
+    gathered = rows_of(tables.read_table(spark, paths["bronze"]))
+    hints = []
+    rows = tables.read_table(spark, paths["bronze"])
+    monkeypatch.setattr(type(rows), "hint", lambda df, name, *_: hints.append(name) or df)
+    monkeypatch.setattr(jobs, "LARGE_FILE", 1)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    jobs.load_bronze(spark, root, str(tmp_path / "again"))
+    assert not hints and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert rows_of(tables.read_table(spark, str(tmp_path / "again"))) == gathered
