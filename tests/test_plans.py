@@ -5,8 +5,9 @@ from __future__ import annotations
 import pytest
 from helpers import SF, plan_of
 
+from tarmac.sources.tables import PARTITIONS
 from tarmac.workload.flights import flights
-from tarmac.workload.queries import queries
+from tarmac.workload.queries import queries, silver_table
 
 
 def plan(spark, name):
@@ -64,3 +65,12 @@ def test_no_cartesian_products(spark):
     for name in ("silver_flights", "unmatched_airports", "network_summary", "ingest_missing_months"):
         text = plan(spark, name)
         assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_silver_is_gathered_before_it_gets_wide(spark, monkeypatch):
+    gathered, frame = [], type(spark.range(1))
+    hint = frame.hint
+    monkeypatch.setattr(frame, "hint", lambda df, name, *by: gathered.append((by, df.columns)) or hint(df, name, *by))
+    wide = silver_table(spark, SF, PARTITIONS)
+    ((by, columns),) = gathered
+    assert by == PARTITIONS and "origin_airport_name" not in columns and "origin_airport_name" in wide.columns
