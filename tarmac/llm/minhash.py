@@ -234,6 +234,14 @@ def _with_minors(members: DataFrame) -> DataFrame:
     )
 
 
+def _sketched(members: DataFrame, sketches: DataFrame) -> DataFrame:
+    """The members with size and bits. A document is in no more buckets than there are bands, so its places are
+    gathered and looked up together: the join has one row per document."""
+    places = F.collect_list(F.struct(*(c for c in members.columns if c != "id"))).alias("places")
+    joined = members.groupBy("id").agg(places).join(sketches, "id")
+    return joined.select("id", "n_shingles", "bits", F.inline("places"))
+
+
 def _minor_pairs(members: DataFrame, percent: int) -> DataFrame:
     """Plausible pairs of different components within each key: those outside the largest one with all."""
     pair = (
@@ -335,7 +343,7 @@ def near_duplicates(
     placed = None
     for number in (*pivots, None):
         if placed is None:
-            placed = stored(_with_minors(_open_members(shared, merged).join(sketches, "id")), "minhash-open")
+            placed = stored(_sketched(_with_minors(_open_members(shared, merged)), sketches), "minhash-open")
         if number is None:
             more = _remaining_pairs(placed, sets, percent, few)
         elif (large := placed.filter(F.col("all") > few)).isEmpty():

@@ -144,3 +144,14 @@ def test_a_crowd_around_the_threshold_emits_few_candidates(frame, monkeypatch):
     assert found_components == brute_force(rows, percent=80)
     pairs = sum(df.count() for df in written["minhash-pairs"])
     assert pairs < 40 * len(rows)
+
+
+def test_sketches_are_looked_up_once_for_a_document(frame):
+    """However many buckets a document is in, the join has one row for it."""
+    members = frame([(key, i, 0) for i in range(5) for key in range(32)], "key bigint, id bigint, component bigint")
+    sketches = frame([(i, 9, [i]) for i in range(9)], "id bigint, n_shingles bigint, bits array<bigint>")
+    df = minhash._sketched(members, sketches)
+    got = sorted((r["id"], r["key"], r["component"], r["n_shingles"], r["bits"]) for r in df.collect())
+    assert got == [(i, key, 0, 9, [i]) for i in range(5) for key in range(32)]
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join Inner") < plan.index("Aggregate")
