@@ -134,6 +134,22 @@ def test_interleaved_files_are_skipped_by_either_column(spark, tmp_path):
     assert rows_of(tables.read_table(spark, curve).groupBy("origin_code").count()) == rows_of(rows.groupBy("origin_code").count())
 
 
+def test_ranges_are_small_enough_to_sort_and_rows_made_wide_in_order(spark, tmp_path):
+    """Equal rows compress to nothing, so the copy's bytes alone would put them all into one task."""
+    rows = spark.range(20_000).selectExpr(
+        "'A1' AS airline_code", "concat('N', id % 7) AS origin_code", "DATE '2021-03-01' AS FlightDate",
+        "id % 5 AS Flight_Number_Reporting_Airline", "2021 AS year", "3 AS month",
+    )
+    path, seen = str(tmp_path / "t"), []
+    finish = lambda df: seen.append(df.columns) or df.withColumn("wide", F.repeat("origin_code", 50))
+    tables.write_clustered(rows, path, sort_bytes=200_000, finish=finish, interleave=True)
+    assert len(parquet_files(path)) >= 5
+    assert seen == [rows.columns]
+    back = tables.read_table(spark, path)
+    assert back.filter("wide = repeat(origin_code, 50)").count() == 20_000
+    assert rows_of(back.select(*rows.columns).groupBy("origin_code").count()) == rows_of(rows.groupBy("origin_code").count())
+
+
 def test_nulls_and_few_values_have_a_place_in_the_layout(spark, tmp_path):
     rows = spark.createDataFrame([(a, o, n) for n, (a, o) in enumerate([("A", None), (None, "x"), (None, None), ("A", "y")])], "a string, o string, n int")
     rows = rows.withColumns({"year": F.lit(2021), "month": F.lit(3)})
