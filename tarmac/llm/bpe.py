@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,7 +42,10 @@ WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|
 LEXICON_WORDS = 50_000
 LEXICON_WORD_BYTES = 32
 WORDS_HELD = 60_000
-_TEXTS_AT_ONCE = 64
+# Texts that are encoded at once: as many as stay below these bytes, but at least one.
+_TEXTS_AT_ONCE, _BYTES_AT_ONCE = 256, 512 << 10
+# Words a task counts before it hands them on; more of them make fewer rows to shuffle.
+WORDS_COUNTED = 200_000
 _LONG = 48
 
 
@@ -72,6 +76,8 @@ class Vocabulary:
         self.byte_ids = np.zeros(256, dtype=np.int32)
         for letter, byte in letters.items():
             self.byte_ids[byte] = vocab[letter]
+        # The last place is for ids outside the vocabulary.
+        self.tokens = pa.array([*self.token_bytes, b""], pa.large_binary())
         self.specials = specials
         self.size = size
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in merges]
@@ -378,19 +384,25 @@ class Lexicon:
 # --- encoding -------------------------------------------------------------------------
 
 
+class _Numbers(dict):
+    """Gives names that it has not met the next number."""
+
+    def __missing__(self, name: str) -> int:
+        number = self[name] = len(self)
+        return number
+
+
 class _Runs:
     """Numbered names with a run of integers each."""
 
     def __init__(self):
-        self.number: dict[str, int] = {}
+        self.number = _Numbers()
         self.values = np.empty(0, dtype=np.int32)
         self.offsets = np.zeros(1, dtype=np.int64)
 
     def numbers(self, names: list[str]) -> list[int]:
         """The number of each name; names not met before get the next ones."""
-        known = self.number
-        give = known.setdefault
-        return [give(name, len(known)) for name in names]
+        return list(map(self.number.__getitem__, names))
 
     def new(self) -> list[str]:
         """Names that have a number and no run yet, in order."""
@@ -489,8 +501,8 @@ class Codec:
             encoder = self.encoder()
             for part in parts:
                 pieces = []
-                for at in range(0, len(part), _TEXTS_AT_ONCE):
-                    rows, ids = encoder.encode(part.slice(at, _TEXTS_AT_ONCE).to_pylist())
+                for at, size in _slices(part):
+                    rows, ids = encoder.encode(part.slice(at, size).to_pylist())
                     pieces.append(_lists(rows, ids))
                 yield pa.concat_arrays(pieces) if pieces else pa.array([], pa.list_(pa.int32()))
 
@@ -504,25 +516,50 @@ class Codec:
 
         @F.arrow_udf("string")
         def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            tokens = _vocabulary(SparkFiles.get(self.spec)).token_bytes
+            tokens = _vocabulary(SparkFiles.get(self.spec)).tokens
             for part in parts:
-                flat = part.values.fill_null(-1).to_numpy()
-                bounds = part.offsets.to_numpy()
-                null = part.is_null().to_numpy(zero_copy_only=False)
-                yield pa.array(
-                    [
-                        "" if null[i] else decode_ids(tokens, flat[bounds[i] : bounds[i + 1]])
-                        for i in range(len(part))
-                    ],
-                    pa.string(),
-                )
+                lists = part.fill_null([])
+                yield decode_rows(tokens, lists.offsets.to_numpy(), lists.values.fill_null(-1).to_numpy())
 
         return run(column)
 
 
-def decode_ids(tokens: list[bytes], ids: np.ndarray) -> str:
-    known = ids[(ids >= 0) & (ids < len(tokens))]
-    return b"".join([tokens[i] for i in known.tolist()]).decode("utf-8", "replace")
+def decode_rows(tokens: pa.LargeBinaryArray, rows: np.ndarray, ids: np.ndarray) -> pa.StringArray:
+    """The text of each row of ids, between its offset in ``rows`` and the next.
+
+    The bytes of all tokens come to lie one after the other, so a row is a stretch of them.
+    """
+    first = int(rows[0])
+    ids, rows = ids[first : int(rows[-1])], rows.astype(np.int64) - first
+    if not len(ids):
+        return pa.array([""] * (len(rows) - 1), pa.string())
+    known = np.where((ids >= 0) & (ids < len(tokens) - 1), ids, len(tokens) - 1)
+    taken = tokens.take(pa.array(known, pa.int32()))
+    _, offsets, data = taken.buffers()
+    ends = np.frombuffer(offsets, np.int64, len(taken) + 1, taken.offset * 8)[rows]
+    if data is None:
+        return pa.array([""] * (len(rows) - 1), pa.string())
+    texts = pa.LargeStringArray.from_buffers(len(rows) - 1, pa.py_buffer(ends), data)
+    try:
+        texts.validate(full=True)
+    except pa.ArrowInvalid:
+        raw = memoryview(data)
+        decoded = [bytes(raw[a:b]).decode("utf-8", "replace") for a, b in itertools.pairwise(ends.tolist())]
+        return pa.array(decoded, pa.string())
+    return texts.cast(pa.string())
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """(start, rows) of the texts to encode at once."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy()
+    start = held = 0
+    for at, size in enumerate(sizes.tolist()):
+        if at > start and (at - start == _TEXTS_AT_ONCE or held + size > _BYTES_AT_ONCE):
+            yield start, at - start
+            start, held = at, 0
+        held += size
+    if start < len(sizes):
+        yield start, len(sizes) - start
 
 
 # --- building the lexicon ---------------------------------------------------------------
@@ -542,7 +579,7 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for text in batch["text"].slice(at, _TEXTS_AT_ONCE).to_pylist():
                 if text:
                     counts.update(text.split())
-            if len(counts) > WORDS_HELD:
+            if len(counts) > WORDS_COUNTED:
                 yield flush(counts)
                 counts = Counter()
     if counts:
@@ -635,14 +672,13 @@ def round_trip(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # One worker does both ways, a few texts at a time.
         encoder = coder.encoder()
-        tokens = encoder.vocabulary.token_bytes
+        tokens = encoder.vocabulary.tokens
         for batch in batches:
-            for at in range(0, batch.num_rows, _TEXTS_AT_ONCE):
-                part = batch.slice(at, _TEXTS_AT_ONCE)
+            for at, size in _slices(batch["text"]):
+                part = batch.slice(at, size)
                 rows, ids = encoder.encode(part["text"].to_pylist())
-                decoded = [decode_ids(tokens, ids[a:b]) for a, b in itertools.pairwise(rows.tolist())]
                 yield pa.record_batch(
-                    [part["id"], _lists(rows, ids), pa.array(decoded, pa.string())], names=schema.names
+                    [part["id"], _lists(rows, ids), decode_rows(tokens, rows, ids)], names=schema.names
                 )
 
     columns = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

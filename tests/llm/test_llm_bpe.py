@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -106,3 +107,21 @@ def test_decoding_foreign_ids(frame, spark):
 def test_long_overlapping_merges(vocabulary, reference):
     for word in ("a" * 999, "aab" * 333, "ha" * 100 + "h"):
         assert np.concatenate(vocabulary.merge([word.encode()])).tolist() == reference.encode(word).ids
+
+
+def test_texts_are_encoded_few_bytes_at_a_time(monkeypatch):
+    monkeypatch.setattr(bpe, "_BYTES_AT_ONCE", 10)
+    monkeypatch.setattr(bpe, "_TEXTS_AT_ONCE", 3)
+    texts = pa.array(["four", "five5", "x", "é" * 40, None, "", "", "", "", "last"])
+    assert list(bpe._slices(texts)) == [(0, 3), (3, 1), (4, 3), (7, 3)]
+    assert list(bpe._slices(texts.slice(3, 2))) == [(0, 1), (1, 1)]
+    assert list(bpe._slices(pa.array([], pa.string()))) == []
+
+
+def test_rows_decode_together(vocabulary):
+    rows, ids = bpe.Encoder(vocabulary, None).encode(["", "héllo", None, "日本"])
+    assert bpe.decode_rows(vocabulary.tokens, rows, ids).to_pylist() == ["", "héllo", "", "日本"]
+    assert bpe.decode_rows(vocabulary.tokens, rows[1:3], ids).to_pylist() == ["héllo"]
+    foreign = np.array([15496, -1, 10**6, 165, 15496])
+    assert bpe.decode_rows(vocabulary.tokens, np.array([0, 3, 4, 5]), foreign).to_pylist() == ["Hello", "�", "Hello"]
+    assert bpe.decode_rows(vocabulary.tokens, np.array([0, 2]), foreign[1:3]).to_pylist() == [""]
