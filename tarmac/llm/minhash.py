@@ -9,7 +9,8 @@ five values (of five permutations) a pair at 0.80 with (1 - 0.8^5)^38, both belo
 
 1. Documents with one shingle set form a class; its smallest id stands for it from there on.
 2. In every bucket each member is compared with the smallest member only. Links are confirmed on full
-   sets, and linked classes merge into components.
+   sets, and linked classes merge into components. Bands whose smallest member is the same document make one bucket, in
+   which each of its documents is once: near copies meet in most of their bands, and are not judged once for each.
 3. Buckets whose members are all in one component are done. In others of more than ``FEW`` members pivot rounds (``PIVOTS``) follow: a bucket offers
    16 members of different components, and the members of other components are compared with these only; links are
    confirmed and merged before the next round. So a group of near copies closes after as many comparisons as it has
@@ -47,6 +48,8 @@ MISS = 1e-6
 # Pivots of a bucket in each round, and members outside its largest component that are compared with all of it.
 PIVOTS = (16,)
 FEW = 64
+# Slots, as a power of two, in which shingles are counted to tell rare ones from frequent ones.
+SLOT_BITS = 20
 # A linked pair agrees in 192 * (1 + similarity) / 2 bits on average; this many standard
 # deviations fewer still count as plausible.
 BIT_DEVIATIONS = 6.5
@@ -253,17 +256,47 @@ def _minor_pairs(members: DataFrame, percent: int) -> DataFrame:
     return _ordered(members.filter("minor").alias("l").join(members.alias("r"), pair))
 
 
+def _slots(shingles: np.ndarray) -> np.ndarray:
+    return (shingles.view(np.uint64) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+
+
+def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+    for batch in batches:
+        np.add.at(counts, _slots(batch["shingles"].flatten().to_numpy()), 1)
+    held = np.flatnonzero(counts)
+    yield pa.record_batch([pa.array(held), pa.array(counts[held])], names=["slot", "n"])
+
+
+def _rarest(shared, percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = shared.value
+        for batch in batches:
+            prefixes = []
+            for shingles in batch["shingles"]:
+                shingles = shingles.values.to_numpy()
+                often = counts[_slots(shingles)]
+                length = len(shingles) - (percent * len(shingles) + 99) // 100 + 1
+                first = np.lexsort((shingles, often))[:length]
+                # Shingles that are alone in their slot take a place in the prefix, but meet nobody.
+                prefixes.append(shingles[first[often[first] > 1]])
+            yield pa.record_batch([batch["id"], pa.array(prefixes, pa.list_(pa.int64()))], names=["id", "prefix"])
+
+    return run
+
+
 def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The members by their rarest shingles: as many as two sets over the threshold cannot both do without."""
-    rows = sets.join(members, "id").select("id", "component", "n_shingles", "bits", F.explode("shingles").alias("key"))
-    held = rows.groupBy("key").agg(F.count("*").alias("holders")).filter("holders > 1")
-    n = F.col("n_shingles")
-    length = n - F.floor((percent * n + 99) / 100) + 1
-    alone = F.coalesce("holders", F.lit(1))
-    place = F.row_number().over(Window.partitionBy("id").orderBy(alone, "key"))
-    # Shingles of one member only take a place in its prefix, but meet nobody.
-    ranked = rows.join(held, "key", "left").withColumns({"place": place, "holders": alone})
-    return ranked.filter((F.col("place") <= length) & (F.col("holders") > 1)).select(*members.columns, "key")
+    """The members by their rarest shingles: as many as two sets over the threshold cannot both do without.
+
+    Any one order of all shingles will do. They are ordered by how often their slot, of 2^``SLOT_BITS``, was met, which is
+    counted and sent to the tasks as one table, so a set is cut to its prefix where it lies.
+    """
+    counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
+    met = sets.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts[met["slot"].to_numpy()] = met["n"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
+    cut = sets.mapInArrow(_rarest(shared, percent), "id bigint, prefix array<bigint>")
+    return cut.join(members, "id").select(*members.columns, F.explode("prefix").alias("key"))
 
 
 def _remaining_pairs(placed: DataFrame, sets: DataFrame, percent: int, few: int) -> DataFrame:
@@ -275,7 +308,7 @@ def _remaining_pairs(placed: DataFrame, sets: DataFrame, percent: int, few: int)
     if crowded.isEmpty():
         return near
     own = keep_ids(sets, stored(crowded.select("id"), "minhash-crowded-ids"), "id")
-    prefixes = stored(_with_minors(_prefixes(crowded, own, percent)), "minhash-prefixes")
+    prefixes = stored(_with_minors(_prefixes(crowded, own, percent)).filter("minors > 0"), "minhash-prefixes")
     return near.union(_minor_pairs(prefixes, percent)).distinct()
 
 
@@ -321,15 +354,14 @@ def near_duplicates(
         .filter("size > 1")
         .select(F.col("key").alias("bucket"), "first")
     )
+    # Bands with the same smallest member are one bucket from here on, so a document that shares many of them is in it once.
     shared = stored(
-        members.join(buckets, F.col("key") == F.col("bucket")).select("key", "id", "first"),
+        members.join(buckets, F.col("key") == F.col("bucket")).select(F.col("first").alias("key"), "id").distinct(),
         "minhash-buckets",
     )
-    to_first = shared.filter("id > first").select(F.col("id").alias("a"), F.col("first").alias("b"))
+    to_first = shared.filter("id > key").select(F.col("id").alias("a"), F.col("key").alias("b"))
     sketches = leads.select("id", "n_shingles", "bits")
-    first_pairs = stored(
-        _judged(to_first.distinct(), sketches, percent), "minhash-first-pairs"
-    )
+    first_pairs = stored(_judged(to_first, sketches, percent), "minhash-first-pairs")
     # Only documents that share a bucket can be in any pair.
     sets = stored(
         keep_ids(columns, stored(shared.select("id").distinct(), "minhash-ids"), "id").mapInArrow(

@@ -155,3 +155,25 @@ def test_sketches_are_looked_up_once_for_a_document(frame):
     assert got == [(i, key, 0, 9, [i]) for i in range(5) for key in range(32)]
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Join Inner") < plan.index("Aggregate")
+
+
+def test_near_copies_are_in_a_bucket_once_and_cut_to_their_prefix(frame, monkeypatch):
+    """Near copies meet in most of their bands: no row for each band, and no row for each shingle, is joined."""
+    rng = random.Random(9)
+    base = [f"b{i}" for i in range(200)]
+    rows = []
+    for i in range(300):
+        words = list(base)
+        for _ in range(rng.choice([1, 4, 6])):
+            words[rng.randrange(200)] = f"x{i}.{rng.random()}"
+        rows.append((i, " ".join(words)))
+    written = {}
+    keep = minhash.stored
+    monkeypatch.setattr(minhash, "stored", lambda df, name: written.setdefault(name, []).append(keep(df, name)) or written[name][-1])
+    assert found(minhash.near_duplicates(frame(rows, SCHEMA), few=0)) == brute_force(rows)
+    assert written["minhash-buckets"][0].count() < 15 * len(rows)  # of 32 bands
+    cut = minhash._prefixes(written["minhash-crowded"][-1], written["minhash-sets"][0], 85)
+    generated = cut.count()
+    assert generated < 0.17 * written["minhash-sets"][0].selectExpr("sum(size(shingles))").first()[0]
+    plan = cut._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Generate") < plan.index("Join Inner")
