@@ -140,6 +140,30 @@ def test_superseded_filings_shuffle_full_rows_once(skewed):
     assert plan.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" in plan
 
 
+@pytest.mark.parametrize("most", [16, 29])
+def test_many_refiled_flights_leave_single_ones_where_they_lie(spark, monkeypatch, most):
+    """However many flights are refiled, full rows are shuffled once, and the others mostly not; full bits lose no row."""
+    monkeypatch.setattr(dedup, "MOST_BITS", most)
+    monkeypatch.setattr(dedup, "fits_broadcast", lambda flights: False, raising=False)  # as with millions of them
+    i = F.col("id")
+    flight = F.when(i < 20_000, F.floor(i / 2)).otherwise(i).cast("int")
+    df = spark.range(60_000).select(
+        F.lit("2021-03-14").cast("date").alias("FlightDate"),
+        F.when(flight % 7 > 0, F.lit("AA")).alias("Reporting_Airline"),
+        flight.alias("Flight_Number_Reporting_Airline"),
+        F.lit("N01").alias("Origin"),
+        F.lit("N02").alias("Dest"),
+        F.timestamp_seconds(i).alias("load_timestamp"),
+    )
+    superseded = dedup.superseded_filings(df)
+    assert plan_of(superseded).count("Exchange hashpartitioning") == 1
+    found = superseded.selectExpr("Flight_Number_Reporting_Airline AS n", "unix_timestamp(load_timestamp) AS t", "row_num")
+    assert sorted(map(tuple, found.collect())) == [(n, 2 * n, 2) for n in range(10_000)]
+    refiled, single = dedup._refiled_numbered(df)
+    assert (refiled.count() + single.count(), refiled.filter("row_num > 1").count()) == (60_000, 10_000)
+    assert 20_000 <= refiled.count() < (24_000 if most > 16 else 30_000)
+
+
 def test_hot_flight_is_cut_down_before_the_shuffle(skewed):
     plan = plan_of(dedup.latest_filing(skewed))
     assert plan.count("WindowGroupLimit") == 2
