@@ -217,3 +217,20 @@ def test_steps_are_counted_by_the_job_that_writes_them(spark, make_flights, make
     assert counts.rows() == [("bronze", 3), ("deduplicated", 2), ("joined_to_airports", 2), ("origin_matched", 1)]
     assert len(tracker.getJobIdsForGroup(None)) == before
     assert StepCounts().at("x", rows) is rows
+
+
+@pytest.mark.parametrize("refiled", [0, 1, 40])
+def test_steps_are_counted_where_flights_filed_once_stay_apart(spark, make_flights, make_airports, tmp_path, refiled):
+    """Refiled flights are shuffled, the others are not, and every row is counted once; none, some or all are refiled."""
+    one = make_flights({}).drop("Flight_Number_Reporting_Airline")
+    numbers = spark.range(40).selectExpr("cast(id AS int) AS Flight_Number_Reporting_Airline")
+    rows = numbers.unionByName(numbers.limit(refiled)).crossJoin(one)
+    bronze = rows.withColumns({"year": F.lit(2021), "month": F.lit(3)})
+    counts = StepCounts(active=True)
+    table = silver.silver_flights(bronze, make_airports(("N01",)), counts=counts, apart=True)
+    tables.write_table(table, str(tmp_path / "t"))
+    assert [n for _, n in counts.rows()][:3] == [40 + refiled, 40, 40]
+    plain = silver.silver_flights(bronze, make_airports(("N01",)))
+    number = "Flight_Number_Reporting_Airline"
+    assert table.columns == plain.columns
+    assert sorted(r[number] for r in spark.read.parquet(str(tmp_path / "t")).collect()) == sorted(r[number] for r in plain.collect())
