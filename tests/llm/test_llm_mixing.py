@@ -231,3 +231,39 @@ def test_first_weights_are_learned_on_all_training_texts(spark):
 def test_long_texts_teach_the_first_weights(spark):
     long = spark.createDataFrame([("alpha beta gamma " * 700 + str(n),) for n in range(5)], "text string")
     assert not np.allclose(mixing.train(long).weights, [0.4] * 3 + [0.0] * 3, atol=1e-3)
+
+
+def test_cases_are_those_of_every_decision_though_equal_ones_are_judged_once(model):
+    texts = [lowered("Alpha beta, beta gamma " * 150 + "x" * n) for n in range(4)] + [b"", b"  \n", "é \x00\t".encode()]
+    counts = mixing.Counts(model.tree, 14)
+    for text in texts:
+        counts.add(text)
+    tables = np.concatenate(counts.parts()).reshape(3, -1, 2).astype(np.float32)
+    judged = mixing.Judged(model.tree, 14, list(tables))
+    expected = Counter()
+    for text in texts:
+        judged.add(text)
+        found = mixing.Decisions(mixing.segments(text), model.tree, 14)
+        logits = []
+        for table, slots in zip(tables, found.slots()):
+            left = table.copy()
+            np.add.at(left, (slots, found.bit), -1.0)
+            logits.append(mixing.stretched(left[slots, 0], left[slots, 1]).astype(int) * (2 * found.bit - 1))
+        expected.update(zip(*(x.tolist() for x in logits)))
+    levels = 241
+    got = {
+        (part - 120, int(case) // levels - 120, int(case) % levels - 120): int(n)
+        for part, cases, times in judged.taken()
+        for case, n in zip(cases, times)
+    }
+    assert got == dict(expected)
+    assert list(judged.taken()) == []
+    assert len(mixing.Contexts(mixing.segments(texts[0]), model.tree).distinct(apart=True)[2]) < 60
+
+
+def test_counted_cases_are_as_many_rows_as_the_first_logit_has_values(docs, spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(mixing, "first_weights", lambda cases: kept.append(cases) or np.zeros(6, dtype=np.float32))
+    mixing.train(docs.filter("doc_id < 40").repartition(3))
+    parts = [r["part"] for r in kept[0].select("part").collect()]
+    assert len(parts) == len(set(parts)) <= 241
