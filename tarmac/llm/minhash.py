@@ -48,8 +48,10 @@ MISS = 1e-6
 # Pivots of a bucket in each round, and members outside its largest component that are compared with all of it.
 PIVOTS = (16,)
 FEW = 64
-# Slots, as a power of two, in which shingles are counted to tell rare ones from frequent ones.
-SLOT_BITS = 20
+# Slots, as a power of two, in which shingles are counted to tell rare ones from frequent ones, and those of one packed row.
+SLOT_BITS, PACKED_BITS = 20, 16
+# Counts up to this are told apart; above it, eight levels are an octave.
+PLAIN_COUNTS = 128
 # A linked pair agrees in 192 * (1 + similarity) / 2 bits on average; this many standard
 # deviations fewer still count as plausible.
 BIT_DEVIATIONS = 6.5
@@ -268,6 +270,25 @@ def _slot_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(held), pa.array(counts[held])], names=["slot", "n"])
 
 
+def _levels(counts: np.ndarray) -> np.ndarray:
+    """Counts in one byte each, in their order: more is never less."""
+    above = PLAIN_COUNTS + np.floor(8 * np.log2(np.maximum(counts, PLAIN_COUNTS) / PLAIN_COUNTS))
+    return np.minimum(np.where(counts <= PLAIN_COUNTS, counts, above), 255).astype(np.uint8)
+
+
+def _packed(table: pa.Table) -> pa.Table:
+    levels = np.zeros(1 << PACKED_BITS, dtype=np.uint8)
+    levels[table["slot"].to_numpy() & (len(levels) - 1)] = _levels(table["n"].to_numpy())
+    return pa.table({"part": table["part"].slice(0, 1), "levels": pa.array([levels.tobytes()], pa.binary())})
+
+
+def _slot_levels(sets: DataFrame) -> DataFrame:
+    """How often each slot was met, as levels packed into a few rows, so that the driver holds a byte a slot."""
+    met = sets.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+    met = met.withColumn("part", F.shiftright("slot", PACKED_BITS))
+    return met.groupBy("part").applyInArrow(_packed, "part bigint, levels binary")
+
+
 def _rarest(shared, percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = shared.value
@@ -289,12 +310,13 @@ def _prefixes(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The members by their rarest shingles: as many as two sets over the threshold cannot both do without.
 
     Any one order of all shingles will do. They are ordered by how often their slot, of 2^``SLOT_BITS``, was met, which is
-    counted and sent to the tasks as one table, so a set is cut to its prefix where it lies.
+    counted and sent to the tasks as a byte a slot, so a set is cut to its prefix where it lies.
     """
-    counts = np.zeros(1 << SLOT_BITS, dtype=np.int64)
-    met = sets.mapInArrow(_slot_counts, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts[met["slot"].to_numpy()] = met["n"].to_numpy()
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
+    levels = np.zeros(1 << SLOT_BITS, dtype=np.uint8)
+    for row in _slot_levels(sets).collect():  # 16 rows
+        at = row["part"] << PACKED_BITS
+        levels[at : at + (1 << PACKED_BITS)] = np.frombuffer(row["levels"], dtype=np.uint8)
+    shared = sets.sparkSession.sparkContext.broadcast(levels)
     cut = sets.mapInArrow(_rarest(shared, percent), "id bigint, prefix array<bigint>")
     return cut.join(members, "id").select(*members.columns, F.explode("prefix").alias("key"))
 

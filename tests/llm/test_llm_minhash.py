@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -177,3 +178,16 @@ def test_near_copies_are_in_a_bucket_once_and_cut_to_their_prefix(frame, monkeyp
     assert generated < 0.17 * written["minhash-sets"][0].selectExpr("sum(size(shingles))").first()[0]
     plan = cut._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Generate") < plan.index("Join Inner")
+
+
+def test_slot_counts_reach_the_driver_as_a_byte_each(spark):
+    counts = np.arange(1, 300_000)
+    levels = minhash._levels(counts).astype(int)
+    assert (levels[:128] == counts[:128]).all() and (np.diff(levels) >= 0).all() and levels[-1] > 200
+    met = [[int(np.int64(np.uint64(n % 3000 << 44).view(np.int64))) for n in range(1000 * k, 1000 * k + 2500)] for k in range(3)]
+    sets = spark.createDataFrame([(k, s) for k, s in enumerate(met)], "id bigint, shingles array<bigint>")
+    rows = minhash._slot_levels(sets).collect()
+    assert [(r["part"], len(r["levels"])) for r in rows] == [(0, 1 << 16)]
+    found = np.frombuffer(rows[0]["levels"], dtype=np.uint8)
+    expected = np.bincount([n % 3000 for k in range(3) for n in range(1000 * k, 1000 * k + 2500)], minlength=1 << 16)
+    assert (found == expected).all()
